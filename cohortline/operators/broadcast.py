@@ -1,0 +1,18 @@
+"""Size-checked broadcast for dimension joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it never reads
+    more than needed to prove the bound. Beyond the bound the join is left to
+    the planner: a shuffled sort-merge join, or a runtime broadcast when AQE
+    measures the side below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
