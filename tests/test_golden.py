@@ -1,0 +1,140 @@
+"""Golden rows of FIXTURES.md sections 4-7."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+
+from cohortline.functions.dates import open_end
+from cohortline.functions.lifecycle import FLAG_COLUMNS, with_lifecycle_flags
+from cohortline.functions.urls import url_host
+from cohortline.operators.hits import with_custom_channel
+from cohortline.operators.load import replace_window
+
+D = dt.date
+N = None
+
+# pid, start, end, recorded renewal, cooling-off days,
+# expected fr, frp, coolingoff, 30d, 60d, 90d, renewed, retained
+LIFECYCLE = [
+    ("P01", D(2024, 3, 1), D(2024, 3, 11), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 1, 1, 1, 1, N, 0),
+    ("P02", D(2024, 3, 1), D(2024, 3, 15), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 1, 1, 1, 1, N, 0),
+    ("P03", D(2024, 3, 1), D(2024, 4, 20), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 0, 0, 1, 1, N, 0),
+    ("P04", D(2024, 3, 1), N, D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 0, 0, 0, 0, 1, 1),
+    ("P05", D(2024, 3, 1), D(2025, 3, 1), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 0, 0, 0, 0, 0, 0),
+    ("P06", D(2024, 3, 1), D(2025, 3, 15), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 0, 0, 0, 0, 0, 0),
+    ("P07", D(2024, 3, 1), D(2025, 3, 16), D(2026, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 0, 0, 0, 0, 1, 1),
+    ("P08", D(2025, 6, 10), D(2025, 6, 20), D(2026, 6, 10), 21, D(2026, 6, 10), D(2026, 7, 1), N, N, N, N, N, N),
+    ("P09", D(2024, 3, 1), D(2024, 2, 28), D(2025, 3, 1), 14, D(2025, 3, 1), D(2025, 3, 15), 1, 1, 1, 1, N, 0),
+    ("P10", D(2024, 3, 1), D(2024, 5, 30), N, N, N, N, N, 0, 0, 1, N, N),
+    ("P11", D(2024, 2, 29), N, D(2025, 2, 28), 14, D(2025, 2, 28), D(2025, 3, 14), 0, 0, 0, 0, 1, 1),
+    ("P12", D(2024, 12, 31), N, D(2026, 1, 1), 14, D(2025, 1, 1), D(2025, 1, 15), 0, 0, 0, 0, 1, 1),
+    ("P13", D(2024, 6, 16), N, D(2025, 6, 16), 14, D(2025, 6, 16), D(2025, 6, 30), 0, 0, 0, 0, N, N),
+    ("P14", D(2024, 3, 1), N, D(2028, 2, 29), 14, D(2025, 2, 28), D(2025, 3, 14), 0, 0, 0, 0, 1, 1),
+]
+
+
+def test_lifecycle_golden(spark):
+    schema = StructType([
+        StructField("pid", StringType()), StructField("start_date", DateType()),
+        StructField("end_raw", DateType()), StructField("recorded_renewal_date", DateType()),
+        StructField("coolingoff_days", LongType()),
+    ])
+    df = spark.createDataFrame([r[:5] for r in LIFECYCLE], schema)
+    df = df.withColumn("end_date", open_end("end_raw"))
+    out = with_lifecycle_flags(df, D(2025, 6, 30))
+    got = {r["pid"]: r for r in out.collect()}
+    for row in LIFECYCLE:
+        r = got[row[0]]
+        assert r["first_renewal_date"] == row[5], row[0]
+        assert r["first_renewal_date_plus_coolingoff"] == row[6], row[0]
+        assert tuple(r[c] for c in FLAG_COLUMNS) == row[7:], row[0]
+
+
+# referrer, utm, default channel, expected label
+CHANNELS = [
+    ("https://www.comparethemarket.com.au/x", N, "direct", "aggregator"),
+    ("www.choosi.com.au/x", N, N, "aggregator"),
+    ("https://u:p@www.iselect.com.au:443/a", N, "email", "aggregator"),
+    ("https://WWW.ISELECT.COM.AU/", N, N, "other"),
+    ("https://x.example.org/?r=choosi", N, N, "other"),
+    (N, "UTM:CTM-1", "direct", "aggregator"),
+    (N, "choosi", N, "other"),
+    (N, "my-iSelect", "paid search", "aggregator"),
+    (N, "ser-1", "direct", "direct"),
+    (N, N, "email", "email"),
+    (N, "laser-2", "paid search", "email"),
+    (N, "Email_weekly", "social", "email"),
+    (N, "x_PMax_y", "paid search", "pmax"),
+    (N, "performance-max", "paid search", "pmax"),
+    (N, "pmax", "organic search", "organic search"),
+    (N, "utm:rewards", "paid search", "paid search"),
+    (N, N, "paid search", "paid search"),
+    (N, "UTM:Rewards_facebook", "social", "everyday"),
+    (N, "utm:discoverpage", "organic search", "everyday"),
+    (N, "bvod", "organic search", "social"),
+    (N, N, "social", "social"),
+    (N, "utm:x", "organic search", "organic search"),
+    (N, N, N, "other"),
+    (N, "utm:x", "Direct", "other"),
+]
+
+
+def test_channel_golden(spark):
+    schema = "i int, visit_referrer string, utm_param string, default_channel string"
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(CHANNELS)], schema)
+    got = {r["i"]: r["custom_channel"] for r in with_custom_channel(df).collect()}
+    for i, row in enumerate(CHANNELS):
+        assert got[i] == row[3], (i + 1, row)
+
+
+URLS = [
+    ("https://www.x.com/a", "www.x.com"),
+    ("WWW.X.com/a", "WWW.X.com"),
+    ("//u:p@a.b:80/p?q", "a.b"),
+    ("https://[::1]:80", "[::1]"),
+    ("  www.E.co  ", "www.E.co"),
+    ("mailto:?to=", "mailto"),
+    ("android-app://com.g/", "com.g"),
+    ("http://a_b.com/x", "a_b.com"),
+    ("", N),
+    (N, N),
+]
+
+
+def test_url_host_golden(spark):
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(URLS)], "i int, url string")
+    got = {r["i"]: r["h"] for r in df.select("i", url_host("url").alias("h")).collect()}
+    for i, (u, want) in enumerate(URLS):
+        assert got[i] == want, u
+
+
+def _window_case(spark):
+    schema = "id int, date_time timestamp_ntz"
+    ts = lambda d: dt.datetime(2024, 1, d, 12) if d else None
+    target = spark.createDataFrame([(1, ts(1)), (2, ts(2)), (3, ts(9)), (4, ts(None))], schema)
+    new = spark.createDataFrame([(9, ts(2))], schema)
+    return target, new
+
+
+def test_replace_window_golden_and_idempotent(spark):
+    target, new = _window_case(spark)
+    lo, hi = D(2024, 1, 1), D(2024, 1, 8)
+    once = replace_window(target, new, "date_time", lo, hi)
+    assert sorted(r.id for r in once.collect()) == [3, 4, 9]
+    twice = replace_window(once, new, "date_time", lo, hi)
+    assert sorted(r.id for r in twice.collect()) == [3, 4, 9]
+
+
+def test_publish_window_table(spark):
+    from cohortline.operators.load import publish_window
+
+    target, new = _window_case(spark)
+    lo, hi = D(2024, 1, 1), D(2024, 1, 8)
+    table = "policy_orders_golden"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (target.withColumn("hit_day", F.to_date("date_time"))
+     .write.partitionBy("hit_day").format("parquet").saveAsTable(table))
+    for _ in range(2):  # a rerun gives the same table
+        publish_window(new, table, "date_time", lo, hi)
+        assert sorted(r.id for r in spark.table(table).collect()) == [3, 4, 9]
