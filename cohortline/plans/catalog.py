@@ -26,13 +26,13 @@ from cohortline.operators.reconcile import matched, unmatched
 from cohortline.plans import params as P
 from cohortline.plans import reports as R
 from cohortline.session import checkpoint_dir
-from cohortline.sources.tables import Inputs, test_inputs
+from cohortline.sources.tables import Inputs, shared_test_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return test_inputs(spark, sf_dir)
+    return shared_test_inputs(spark, sf_dir)
 
 
 # --- operator-level queries -----------------------------------------------------

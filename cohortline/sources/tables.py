@@ -66,6 +66,23 @@ def test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
+_INPUTS: dict[tuple[int, str], Inputs] = {}
+
+
+def shared_test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """``test_inputs`` memoised per session and folder.
+
+    A job that runs several reports over the same tables plans the adapter
+    views and checks the dimension sizes once. The inputs are read-only, so
+    the cached plans and size checks stay valid for the session's life.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    cached = _INPUTS.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _INPUTS[key] = test_inputs(spark, sf_dir)
+    return cached
+
+
 def catalog_inputs(spark: SparkSession, *, hits: str, marketing_channel: str, visits: str,
                    policies: str, callcentre_car: str, callcentre_home: str,
                    calendar: str) -> Inputs:
