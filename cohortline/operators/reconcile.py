@@ -39,20 +39,22 @@ def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
     if group not in on or member_on not in on:
         raise ValueError("group and member_on must be join keys")
     m = members.groupBy(member_on).agg(F.count(F.lit(1)).alias("__n_c"))
-    n_c = F.col("__n_c")
+    n_l, n_c = F.col("__n_l"), F.col("__n_c")
+    # Left: rows per key first (partial aggregation before any shuffle), then
+    # the membership multiplicity of the key's member_on value.
     lk = (
-        left.select(*on)
+        left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n_l"))
         .join(m, member_on, "left")
-        .groupBy(*on)
-        .agg(
-            F.sum(F.coalesce(n_c, F.lit(1))).alias("__l_all"),
-            F.sum(F.when(n_c.isNull(), F.lit(1)).otherwise(F.lit(0))).alias("__l_nonhub"),
-            F.sum(F.coalesce(n_c, F.lit(0))).alias("__l_hub"),
+        .select(
+            *on,
+            (n_l * F.coalesce(n_c, F.lit(1))).alias("__l_all"),
+            F.when(n_c.isNull(), n_l).otherwise(F.lit(0)).alias("__l_nonhub"),
+            (n_l * F.coalesce(n_c, F.lit(0))).alias("__l_hub"),
         )
     )
-    rk = right.select(*on).groupBy(*on).agg(F.count(F.lit(1)).alias("__g"))
+    rk = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__g"))
     cond = None
-    for k in on:
+    for k in on:  # same key order as both aggregates: no extra exchange
         c = lk[k] == rk[k]
         cond = c if cond is None else (cond & c)
     j = lk.join(rk, cond, "full_outer").select(

@@ -124,8 +124,8 @@ def bq_policies(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
     """Distinct (product, bare pid) of in-scope policies purchased in the window."""
     p = inputs.policies.where(F.col("policy_purchase_date").between(F.lit(lo), F.lit(hi))
                               & in_scope("car_home_retail_travel"))
-    return p.select(F.lower("source_product").alias("product"),
-                    bare_policy_id("source_product", "policy_identifier").alias("pid")).distinct()
+    return p.select(bare_policy_id("source_product", "policy_identifier").alias("pid"),
+                    F.lower("source_product").alias("product")).distinct()
 
 
 def callcentre_policies(inputs: Inputs) -> DataFrame:
@@ -138,7 +138,7 @@ def callcentre_policies(inputs: Inputs) -> DataFrame:
 
 
 def grs_policies(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
-    return first_purchase_hits(inputs, lo, hi).select("product", F.col("policy_id").alias("pid"))
+    return first_purchase_hits(inputs, lo, hi).select(F.col("policy_id").alias("pid"), "product")
 
 
 def reconciliation(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
