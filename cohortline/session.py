@@ -38,6 +38,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("COHORTLINE_DRIVER_MEM", "8g"))
+        # Local inputs are megabytes, below AQE's default 1 MB floor for a
+        # coalesced partition, which would fold every post-shuffle stage into
+        # one task on an 8-core machine. A lower floor keeps the cores busy;
+        # clusters keep their own (larger) settings.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)

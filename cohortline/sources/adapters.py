@@ -96,8 +96,16 @@ def hits(events: DataFrame) -> DataFrame:
 
 
 def marketing_channel(spark: SparkSession) -> DataFrame:
-    """The channel dimension (a fixed, 8-row table)."""
-    return spark.createDataFrame(list(CHANNELS), schemas.MARKETING_CHANNEL)
+    """The channel dimension (a fixed, 8-row table).
+
+    Built as an inline ``VALUES`` table so it plans as a local relation: its
+    size is known to the planner and broadcasting it needs no Spark job.
+    """
+    def q(s: str) -> str:
+        return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(f"(CAST({i} AS BIGINT), {q(name)})" for i, name in CHANNELS)
+    df = spark.sql(f"SELECT * FROM VALUES {rows} AS t(channel_id, channel_name)")
+    return schemas.conform(df, schemas.MARKETING_CHANNEL, "marketing_channel")
 
 
 def visits(events: DataFrame) -> DataFrame:
