@@ -22,6 +22,9 @@ CAR_HOME_PAGES = (PAGE_CAR, PAGE_HOME)
 # Fixed value: type the closer id is compared in (exact numeric).
 CLOSER_ID_TYPE = "decimal(38,9)"
 
+# Prefix of the stand-in keys given to null join keys (see ``with_visit``).
+NULL_KEY_PREFIX = "\u0000"
+
 
 def purchase_hits(hits: DataFrame, lo: dt.date, hi: dt.date,
                   pages: Sequence[str] = PURCHASE_PAGES) -> DataFrame:
@@ -51,15 +54,23 @@ def with_default_channel(hits: DataFrame, channel_dim: DataFrame,
 
 def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high",
                low: str = "post_visid_low", visit_num: str = "visit_num",
-               visitor: str | None = None) -> DataFrame:
+               visitor: str | None = None, spread_nulls_by: Sequence[str] = ()) -> DataFrame:
     """Left-join the visit dimension on ``visitor_id || '_' || visit_num``.
 
     Adds ``device_type``, ``os_type``, ``os_version`` and ``start_time``. A
     visit id with several rows fans the hit out; ``first_hit`` collapses it
     afterwards. Both sides are large, so this is a shuffled join; AQE splits
-    a skewed visit key.
+    a skewed visit key on the hit side.
+
+    A hit without a visitor id can never match, but a null join key still
+    hashes every such hit to the same reducer. With ``spread_nulls_by``,
+    each null key is replaced by a stand-in key (a NUL character followed by
+    a hash of the given columns) so those hits spread over all reducers; the
+    join condition excludes stand-in keys from matching, so they still miss
+    and the result is unchanged.
     """
     vis = visitor_id(high, low) if visitor is None else F.col(visitor)
+    key = visit_id(vis, visit_num)
     v = visits.select(
         F.col("visit_id").alias("__visit_id"),
         F.col("device").alias("device_type"),
@@ -67,7 +78,12 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
         F.col("os_name").alias("os_version"),
         F.col("start_time"),
     )
-    return df.join(v, visit_id(vis, visit_num) == F.col("__visit_id"), "left").drop("__visit_id")
+    if not spread_nulls_by:
+        return df.join(v, key == F.col("__visit_id"), "left").drop("__visit_id")
+    spread = F.concat(F.lit(NULL_KEY_PREFIX), F.xxhash64(*spread_nulls_by).cast("string"))
+    df = df.withColumns({"__vkey": F.coalesce(key, spread), "__vkey_real": key.isNotNull()})
+    cond = (F.col("__vkey") == F.col("__visit_id")) & F.col("__vkey_real")
+    return df.join(v, cond, "left").drop("__visit_id", "__vkey", "__vkey_real")
 
 
 def with_custom_channel(df: DataFrame, *, referrer: str = "visit_referrer", utm: str = "utm_param",

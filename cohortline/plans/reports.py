@@ -59,7 +59,7 @@ def policy_orders(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
         "default_channel",
         F.col("va_closer_detail").alias("default_channel_detail"),
     )
-    a = with_visit(a, inputs.visits, visitor="visitor_id")
+    a = with_visit(a, inputs.visits, visitor="visitor_id", spread_nulls_by=["event_id"])
     a = with_custom_channel(a)
     a = first_hit(a, ["pid"], ["date_time", "start_time"], VISIT_TIEBREAK)
     return a.select(*POLICY_ORDER_COLUMNS)
