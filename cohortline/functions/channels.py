@@ -9,6 +9,7 @@ unknown, which falls through to the next rule exactly like SQL ``CASE``.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -81,3 +82,15 @@ def classify(host: Column, utm_lower: Column, channel: Column,
         cond = rule_condition(rule, host, utm_lower, channel)
         expr = F.when(cond, F.lit(rule.label)) if expr is None else expr.when(cond, F.lit(rule.label))
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
+@lru_cache(maxsize=64)
+def channel_label(host_col: str, utm_lower_col: str, channel_col: str,
+                  rules: tuple[Rule, ...] = INSURANCE_RULES,
+                  default: str = DEFAULT_LABEL) -> Column:
+    """``classify`` over named columns, built once per argument set.
+
+    A Column is an unresolved expression, independent of any DataFrame, so
+    the same object is reused by every plan that classifies these columns.
+    """
+    return classify(F.col(host_col), F.col(utm_lower_col), F.col(channel_col), rules, default)

@@ -9,6 +9,7 @@ coalesced to 0.
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,21 +57,31 @@ def retained(end: Column | str, renewal_plus_cooloff: Column | str, report_end:
     return F.when(report_end > frp, _flag(end > frp))
 
 
+@lru_cache(maxsize=64)
+def lifecycle_columns(report_end: dt.date, start: str, end: str, renewal: str,
+                      cooloff: str) -> tuple[tuple[str, Column], ...]:
+    """(name, Column) pairs added by ``with_lifecycle_flags``, built once per
+    argument set (Columns are unresolved expressions, reusable by any plan)."""
+    asof = F.lit(report_end)
+    fr = first_renewal_date(start, renewal)
+    frp = plus_days(fr, cooloff)
+    cols = [("first_renewal_date", fr), ("first_renewal_date_plus_coolingoff", frp),
+            ("coolingoff_cancelled", cancelled_within(start, end, asof, F.col(cooloff)))]
+    for days in MTC_HORIZONS:
+        cols.append((f"mtc_{days}d", cancelled_within(start, end, asof, days)))
+    cols.append(("renewed", renewed(end, "first_renewal_date", "first_renewal_date_plus_coolingoff", asof)))
+    cols.append(("retained", retained(end, "first_renewal_date_plus_coolingoff", asof)))
+    return tuple(cols)
+
+
 def with_lifecycle_flags(df: DataFrame, report_end: dt.date, *, start: str = "start_date",
                          end: str = "end_date", renewal: str = "recorded_renewal_date",
                          cooloff: str = "coolingoff_days") -> DataFrame:
     """Add ``first_renewal_date``, ``first_renewal_date_plus_coolingoff`` and
     the six flags. ``end`` must already be open-ended (see ``open_end``)."""
-    asof = F.lit(report_end)
-    df = df.withColumn("first_renewal_date", first_renewal_date(start, renewal))
-    df = df.withColumn("first_renewal_date_plus_coolingoff",
-                       plus_days("first_renewal_date", cooloff))
-    flags = {"coolingoff_cancelled": cancelled_within(start, end, asof, F.col(cooloff))}
-    for days in MTC_HORIZONS:
-        flags[f"mtc_{days}d"] = cancelled_within(start, end, asof, days)
-    flags["renewed"] = renewed(end, "first_renewal_date", "first_renewal_date_plus_coolingoff", asof)
-    flags["retained"] = retained(end, "first_renewal_date_plus_coolingoff", asof)
-    return df.withColumns(flags)
+    cols = lifecycle_columns(report_end, start, end, renewal, cooloff)
+    df = df.withColumns(dict(cols[:2]))
+    return df.withColumns(dict(cols[2:]))
 
 
 __all__ = [

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.channels import INSURANCE_RULES, Rule, classify
+from cohortline.functions.channels import INSURANCE_RULES, Rule, channel_label
 from cohortline.functions.dates import day_between
 from cohortline.functions.keys import visit_id, visitor_id
 from cohortline.functions.urls import url_host
@@ -91,5 +91,5 @@ def with_custom_channel(df: DataFrame, *, referrer: str = "visit_referrer", utm:
                         rules: tuple[Rule, ...] = INSURANCE_RULES) -> DataFrame:
     """Add the rule-based channel label; host and lower(utm) are computed once."""
     df = df.withColumns({"__host": url_host(referrer), "__utm": F.lower(F.col(utm))})
-    df = df.withColumn(out, classify(F.col("__host"), F.col("__utm"), F.col(channel), rules))
+    df = df.withColumn(out, channel_label("__host", "__utm", channel, rules))
     return df.drop("__host", "__utm")

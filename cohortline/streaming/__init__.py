@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports have no streaming sources or stateful operators. Late-arriving
+hits are absorbed by the daily reload of a trailing 8-day window
+(``cohortline.plans.jobs.daily_policy_orders``), a batch job.
+"""
