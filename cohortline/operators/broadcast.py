@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (reads at most one more)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
@@ -14,5 +19,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     the planner: a shuffled sort-merge join, or a runtime broadcast when AQE
     measures the side below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
