@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.functions.dates import first_renewal_date, month_start, open_end, plus_days
+from cohortline.functions.dates import first_renewal_date, month_start, plus_days
 from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, visit_id, visitor_id
 from cohortline.functions.urls import url_host
 from cohortline.operators.cohorts import cohort_counts, cohort_rates

@@ -1,6 +1,8 @@
 """Physical-plan checks: no slow or unbounded operators, pushdown reaches
 the scan, dedup limits rows before the shuffle."""
 
+import re
+
 import pytest
 
 from cohortline.plans.catalog import QUERIES
@@ -56,3 +58,41 @@ def test_channel_dimension_is_broadcast(spark):
     text = formatted(QUERIES["report_purchases_custom"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in text
     assert "LeftOuter" in text
+
+
+def test_bounded_broadcast_falls_back_beyond_bound(spark):
+    from cohortline.operators.broadcast import bounded_broadcast
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ok = big.join(bounded_broadcast(small, max_rows=10), "k")
+        assert "BroadcastHashJoin" in formatted(ok)
+        over = big.join(bounded_broadcast(small, max_rows=9), "k")
+        assert "BroadcastHashJoin" not in formatted(over)
+        assert ok.count() == over.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_key_dedup_shuffles_one_row_per_map_task(spark):
+    """A key holding a third of all rows: the partial limit runs before the
+    exchange, so the shuffle carries at most one row per key per task."""
+    from pyspark.sql import functions as F
+
+    from cohortline.operators.dedup import first_hit
+
+    df = spark.range(0, 30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("t"))
+    out = first_hit(df, ["k"], ["t"])
+    text = formatted(out)
+    tree = text.split("\n\n")[0]  # the operator tree, root first
+    exchange = tree.index("Exchange")
+    limits = [m.start() for m in re.finditer("WindowGroupLimit", tree)]
+    assert any(pos > exchange for pos in limits)  # a limit below the exchange ...
+    assert re.search(r"WindowGroupLimit\nInput \[\d+\]: .*\nArguments: .*Partial", text)  # ... partial
+    assert out.where("k = 'hot'").collect()[0].t == 0
+    assert out.count() == 20001
