@@ -1,7 +1,7 @@
 """Bench: run the headline reports and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query after one warm-up, default 3).
+BENCH_RUNS (timed runs per query after one warm-up, default 5).
 Each run executes the whole plan into Spark's ``noop`` sink (no collect to
 the driver); the reported time per query is the median of the timed runs
 and ``value`` is the sum of those medians.
@@ -44,7 +44,7 @@ def run_once(spark, key, sf_dir) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cores=cpus, shuffle_partitions=max(int(cpus) * 2, 8) if cpus.isdigit() else 16,
                           app_name="cohortline-bench")
     times = {}

@@ -51,13 +51,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+# Runtime settings ``configure`` may fill in on a session it did not build.
+_RUNTIME_KEYS = (
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the defaults that the session does not set already."""
-    for key, value in _DEFAULTS.items():
-        if key in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
-            continue  # a static setting; only the builder can change it
+    """Turn on AQE (runtime re-planning, coalescing, skew splitting) where the
+    session has not set it explicitly. Nothing else is touched: the session
+    time zone does not matter to the reports (all timestamps are zone-less)."""
+    for key in _RUNTIME_KEYS:
         if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
+            spark.conf.set(key, _DEFAULTS[key])
     return spark
 
 
