@@ -6,9 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most one more)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows (reads at most one more).
+
+    The answer is remembered per session for the same plan over the same
+    input files (``semanticHash`` + ``inputFiles``): a report that is built
+    again, or two reports joining the same dimension, do not rerun the
+    check. New files (a grown table) change the key, so the check runs again.
+    """
+    key = (df.sparkSession, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
