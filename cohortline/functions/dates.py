@@ -13,6 +13,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortline.functions.memo import column_memo
+
 # Fixed value: end date standing for "still in force".
 OPEN_END = dt.date(2099, 12, 31)
 
@@ -53,6 +55,7 @@ def until_last_month_end(start: dt.date, today: dt.date) -> tuple[dt.date, dt.da
 
 # --- columns ----------------------------------------------------------------
 
+@column_memo
 def day_of(ts: Column | str) -> Column:
     return F.to_date(_c(ts))
 
@@ -62,6 +65,7 @@ def day_in_zone(ts: Column | str, zone: str = REPORT_ZONE) -> Column:
     return F.to_date(F.from_utc_timestamp(_c(ts).cast("timestamp"), zone))
 
 
+@column_memo
 def day_between(ts: Column | str, lo: dt.date, hi: dt.date) -> Column:
     """``date(ts) between lo and hi`` (inclusive).
 
@@ -71,16 +75,19 @@ def day_between(ts: Column | str, lo: dt.date, hi: dt.date) -> Column:
     return F.to_date(_c(ts)).between(F.lit(lo), F.lit(hi))
 
 
+@column_memo
 def month_start(d: Column | str) -> Column:
     """First day of the month, as a date."""
     return F.trunc(_c(d), "MM")
 
 
+@column_memo
 def week_start(d: Column | str) -> Column:
     """Monday of the week, as a date."""
     return F.trunc(_c(d), "week")
 
 
+@column_memo
 def first_renewal_date(start: Column | str, renewal: Column | str) -> Column:
     """Recorded renewal moved to the year after the start year.
 
@@ -93,11 +100,13 @@ def first_renewal_date(start: Column | str, renewal: Column | str) -> Column:
     return F.add_months(renewal, (F.year(start) - F.year(renewal) + 1) * 12)
 
 
+@column_memo
 def plus_days(d: Column | str, days: Column | str) -> Column:
     """``d + days``; a bigint day count is narrowed to int first."""
     return F.date_add(_c(d), _c(days).cast("int"))
 
 
+@column_memo
 def open_end(end: Column | str, sentinel: dt.date = OPEN_END) -> Column:
     """Null end date -> the "in force" sentinel."""
     return F.coalesce(_c(end), F.lit(sentinel))

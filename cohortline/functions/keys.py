@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortline.functions.memo import column_memo
+
 # Web product code -> prefix of the policy-master identifier.
 # The comparison is case-sensitive ('Car' gets no prefix), as upstream.
 WEB_PREFIXES: Mapping[str, str] = {"car": "MOT", "home": "HOM"}
@@ -22,6 +24,7 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@column_memo
 def prefixed_policy_id(product: Column | str, policy_id: Column | str,
                        prefixes: Mapping[str, str] = WEB_PREFIXES) -> Column:
     """Web policy id -> policy-master identifier (``car`` -> ``MOT`` + id)."""
@@ -34,11 +37,13 @@ def prefixed_policy_id(product: Column | str, policy_id: Column | str,
     return policy_id if expr is None else expr.otherwise(policy_id)
 
 
+@column_memo
 def strip_prefix(policy_id: Column | str) -> Column:
     """Drop the 3-letter prefix (``substr(id, 4, 100)``)."""
     return F.substring(_c(policy_id), PREFIX_LEN + 1, BARE_ID_MAX_LEN)
 
 
+@column_memo
 def bare_policy_id(product: Column | str, policy_id: Column | str,
                    prefixed: tuple[str, ...] = PREFIXED_PRODUCTS) -> Column:
     """Policy-master identifier -> web policy id for prefixed products."""
@@ -46,11 +51,13 @@ def bare_policy_id(product: Column | str, policy_id: Column | str,
     return F.when(product.isin(*prefixed), strip_prefix(policy_id)).otherwise(policy_id)
 
 
+@column_memo
 def visitor_id(high: Column | str, low: Column | str) -> Column:
     """Visitor id: the two id halves as text, joined with no separator."""
     return F.concat(_c(high).cast("string"), _c(low).cast("string"))
 
 
+@column_memo
 def visit_id(visitor: Column | str, visit_num: Column | str) -> Column:
     """Visit id: ``visitor_id || '_' || visit_num`` (null if either is null)."""
     return F.concat(_c(visitor), F.lit("_"), _c(visit_num))

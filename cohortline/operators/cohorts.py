@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortline.functions.memo import column_memo
+
 # Per flag, the output names of its base (observable count) and
 # of its complement (base minus events), where the dashboard reports them.
 BASE_NAMES = {
@@ -33,16 +35,19 @@ RATE_NAMES = {
 DEFAULT_FLAGS = tuple(BASE_NAMES)
 
 
+@column_memo
 def flag_sum(flag: str) -> Column:
     """Events: ``sum(flag)`` (null when no row is observable)."""
     return F.sum(F.col(flag))
 
 
+@column_memo
 def flag_base(flag: str) -> Column:
     """Observable base: ``count(flag)`` (non-null rows)."""
     return F.count(F.col(flag))
 
 
+@column_memo
 def flag_rate(flag: str) -> Column:
     """``sum / base`` as double; null for an empty base."""
     return F.try_divide(flag_sum(flag).cast("double"), flag_base(flag))

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from cohortline.functions.dates import month_start, open_end
 from cohortline.functions.keys import bare_policy_id
 from cohortline.functions.lifecycle import with_lifecycle_flags
+from cohortline.functions.memo import column_memo
 
 # Home subtypes counted as retail home policies.
 RETAIL_HOME_SUBTYPES = ("Combined Home & Contents", "Content Only Cover", "Home Only Cover")
 
 
+@column_memo
 def in_scope(kind: str) -> Column:
     """Product scope predicate over ``source_product`` / ``product_subtype``.
 
