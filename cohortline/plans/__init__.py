@@ -1,0 +1 @@
+"""Reports, scheduled jobs, the registered query catalog and its DuckDB oracle."""

@@ -1,0 +1 @@
+"""Input schemas, adapter views over the driver tables, and input loading."""
