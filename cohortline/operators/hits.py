@@ -15,6 +15,7 @@ from cohortline.functions.keys import visit_id, visitor_id
 from cohortline.functions.urls import url_host
 from cohortline.operators.broadcast import fits
 from cohortline.sources.adapters import PAGE_CAR, PAGE_HOME, PAGE_TRAVEL
+from cohortline.sources.schemas import HIT_DAY
 
 # Purchase-confirmation pages per report family.
 PURCHASE_PAGES = (PAGE_CAR, PAGE_HOME, PAGE_TRAVEL)
@@ -37,11 +38,16 @@ def purchase_hits(hits: DataFrame, lo: dt.date, hi: dt.date,
                   pages: Sequence[str] = PURCHASE_PAGES) -> DataFrame:
     """Hits with a policy id on a purchase page whose day is in ``[lo, hi]``.
 
-    The day range reaches the Parquet scan as a timestamp range filter.
+    The day range reaches the Parquet scan as a timestamp range filter. When
+    the hits carry their day partition (``hit_day``), the same range is also
+    put on it, so only the window's partitions are listed and read.
     """
-    return hits.where(day_between("date_time", lo, hi)
-                      & F.col("post_evar61").isNotNull()
-                      & F.col("pagename").isin(*pages))
+    cond = (day_between("date_time", lo, hi)
+            & F.col("post_evar61").isNotNull()
+            & F.col("pagename").isin(*pages))
+    if HIT_DAY in hits.columns:
+        cond = F.col(HIT_DAY).between(F.lit(lo), F.lit(hi)) & cond
+    return hits.where(cond)
 
 
 def with_default_channel(hits: DataFrame, channel_dim: DataFrame,

@@ -34,6 +34,9 @@ HITS = _s(
     ("pagename", StringType(), True),
 )
 
+# Optional column of the hits: the day partition, equal to date(date_time).
+HIT_DAY = "hit_day"
+
 MARKETING_CHANNEL = _s(
     ("channel_id", LongType(), False),
     ("channel_name", StringType(), False),
@@ -68,9 +71,9 @@ CALENDAR = _s(
 MEMBER_LIST = _s(("policy_id", StringType(), True))
 
 
-def conform(df: DataFrame, schema: StructType, name: str) -> DataFrame:
-    """Select the declared columns in declared order; fail on a missing
-    column or a type mismatch. Extra columns are pruned away."""
+def conform(df: DataFrame, schema: StructType, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Select the declared columns in declared order (plus ``keep``); fail on
+    a missing column or a type mismatch. Other columns are pruned away."""
     have = {f.name: f.dataType for f in df.schema.fields}
     for f in schema.fields:
         if f.name not in have:
@@ -78,4 +81,7 @@ def conform(df: DataFrame, schema: StructType, name: str) -> DataFrame:
         if have[f.name] != f.dataType:
             raise TypeError(f"{name}.{f.name}: expected {f.dataType.simpleString()}, "
                             f"got {have[f.name].simpleString()}")
-    return df.select(*[f.name for f in schema.fields])
+    for k in keep:
+        if k not in have:
+            raise ValueError(f"{name}: missing column {k!r}")
+    return df.select(*[f.name for f in schema.fields], *keep)

@@ -103,12 +103,22 @@ def shared_test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 def catalog_inputs(spark: SparkSession, *, hits: str, marketing_channel: str, visits: str,
                    policies: str, callcentre_car: str, callcentre_home: str,
-                   calendar: str) -> Inputs:
-    """Inputs from catalog tables that already follow ``schemas``."""
+                   calendar: str, hits_day_column: str | None = None) -> Inputs:
+    """Inputs from catalog tables that already follow ``schemas``.
+
+    ``hits_day_column`` names the hit table's day partition column, which
+    must equal ``date(date_time)``. It is kept (as ``hit_day``) so report
+    windows prune whole partitions; a filter on ``date_time`` alone can only
+    skip row groups.
+    """
     t = spark.table
+    hits_df = schemas.conform(t(hits), schemas.HITS, hits,
+                              keep=(hits_day_column,) if hits_day_column else ())
+    if hits_day_column and hits_day_column != schemas.HIT_DAY:
+        hits_df = hits_df.withColumnRenamed(hits_day_column, schemas.HIT_DAY)
     return Inputs(
         spark=spark,
-        hits=schemas.conform(t(hits), schemas.HITS, hits),
+        hits=hits_df,
         marketing_channel=schemas.conform(t(marketing_channel), schemas.MARKETING_CHANNEL,
                                           marketing_channel),
         visits=schemas.conform(t(visits), schemas.VISITS, visits),

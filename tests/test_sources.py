@@ -67,3 +67,21 @@ def test_cli_runs_the_jobs(spark, stored_inputs):
     want = R.retention_dashboard(stored_inputs, R.policy_orders(stored_inputs, *P.BACKFILL_WINDOW),
                                  *P.DASHBOARD_WINDOW)
     assert _rows(spark.table("cli_pivot")) == _rows(want)
+
+
+def test_day_partitioned_hits_prune_partitions(spark, inputs_small, stored_inputs):
+    from cohortline.sources.tables import catalog_inputs
+    from tests.test_plans import formatted
+
+    spark.sql("DROP TABLE IF EXISTS src_hits_by_day")
+    (inputs_small.hits.withColumn("day", F.to_date("date_time"))
+     .write.partitionBy("day").format("parquet").saveAsTable("src_hits_by_day"))
+    names = {t: f"src_{t}" for t in TABLES}
+    names["hits"] = "src_hits_by_day"
+    by_day = catalog_inputs(spark, hits_day_column="day", **names)
+    df = R.purchases_by_custom_channel(by_day, *P.DAILY_WINDOW)
+    text = formatted(df)
+    assert "PartitionFilters: [isnotnull(day" in text and "2024-01-17" in text
+    assert _rows(df) == _rows(R.purchases_by_custom_channel(stored_inputs, *P.DAILY_WINDOW))
+    assert _rows(R.policy_orders(by_day, *P.DAILY_WINDOW)) == \
+        _rows(R.policy_orders(stored_inputs, *P.DAILY_WINDOW))
