@@ -9,7 +9,6 @@ Both keep rows whose day is null (a range delete never matches them).
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +41,17 @@ def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt
     """Replace days ``[lo, hi]`` of ``table`` with ``new``; returns ``table``.
 
     Steps: (1) stage the new rows in the shared checkpoint folder, so the
-    expensive computation finishes before the target is touched and a rerun
-    after a failure starts from the staged copy; (2) drop each day partition
-    of the window (days with no new rows are cleared too, which a dynamic
-    partition overwrite would not do); (3) append the staged rows. Rows with
-    a null day live in the default partition and are never dropped.
+    expensive computation finishes (and survives lost executors) before the
+    target is touched; (2) drop each day partition of the window (days with
+    no new rows are cleared too, which a dynamic partition overwrite would
+    not do); (3) append the staged rows. Rows with a null day live in the
+    default partition and are never dropped. Each table has one staging
+    folder, overwritten by the next run, so nothing accumulates; a rerun
+    after a failure recomputes and converges to the same table.
     """
     spark: SparkSession = new.sparkSession
     rows = new.withColumn(partition_col, F.to_date(F.col(day_col)))
-    stage = f"{checkpoint_dir(spark)}/staging/{table}/{uuid.uuid4().hex}"
+    stage = f"{checkpoint_dir(spark)}/staging/{table}"
     rows.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     if not spark.catalog.tableExists(table):
