@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortline.functions.memo import column_memo
+
 _RN = "__first_hit_rn"
 
 
@@ -14,6 +16,12 @@ def _asc(c: Column | str) -> Column:
     return F.col(c).asc_nulls_first() if isinstance(c, str) else c
 
 
+@column_memo
+def rank_in_key(keys: tuple, order: tuple) -> Column:
+    """``row_number() over (partition by keys order by order)``."""
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*[_asc(c) for c in order]))
+
+
 def first_hit(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column],
               tiebreak: Sequence[str | Column] = ()) -> DataFrame:
     """Rows with ``row_number() over (partition by keys order by order, tiebreak) = 1``.
@@ -30,5 +38,5 @@ def first_hit(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str |
     """
     if not keys:
         raise ValueError("first_hit needs at least one key")
-    w = Window.partitionBy(*keys).orderBy(*[_asc(c) for c in list(order) + list(tiebreak)])
-    return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
+    rank = rank_in_key(tuple(keys), tuple(order) + tuple(tiebreak))
+    return df.withColumn(_RN, rank).where(F.col(_RN) == 1).drop(_RN)
