@@ -160,3 +160,51 @@ def test_null_visit_keys_spread_and_miss(spark):
     assert out.count() == 3000
     assert out.where("device_type is null").count() == 1000
     assert out.where("visitor_id is not null and device_type is null").count() == 0
+
+
+# --- lifecycle flags vs a plain-Python date calculation ------------------------
+
+def _add_years(d, n):
+    import calendar as cal
+    y = d.year + n
+    return d.replace(year=y, day=min(d.day, cal.monthrange(y, d.month)[1]))
+
+
+def py_flags(start, end, renewal, cool, asof):
+    import datetime as dt
+    end = end or dt.date(2099, 12, 31)
+
+    def within(days):
+        if days is None or (asof - start).days < days:
+            return None
+        return 1 if (end - start).days <= days else 0
+
+    fr = _add_years(renewal, start.year - renewal.year + 1) if renewal else None
+    frp = fr + dt.timedelta(days=cool) if fr is not None and cool is not None else None
+    renewed = retained = None
+    if frp is not None and asof > frp:
+        retained = 1 if end > frp else 0
+        if end >= fr:
+            renewed = retained
+    return (within(cool), within(30), within(60), within(90), renewed, retained)
+
+
+_days = st.dates(min_value=__import__("datetime").date(2023, 1, 1),
+                 max_value=__import__("datetime").date(2027, 12, 31))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(_days, st.none() | _days, st.none() | _days,
+                               st.none() | st.sampled_from([0, 14, 21, 30])), min_size=1, max_size=25),
+       asof=_days)
+def test_lifecycle_flags_match_plain_python(spark, rows, asof):
+    from cohortline.functions.dates import open_end
+    from cohortline.functions.lifecycle import FLAG_COLUMNS, with_lifecycle_flags
+
+    data = [(i, s, e, r, c) for i, (s, e, r, c) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, start_date date, end_raw date, "
+                                     "recorded_renewal_date date, coolingoff_days bigint")
+    out = with_lifecycle_flags(df.withColumn("end_date", open_end("end_raw")), asof)
+    got = {r.i: tuple(r[c] for c in FLAG_COLUMNS) for r in out.collect()}
+    for i, s, e, r, c in data:
+        assert got[i] == py_flags(s, e, r, c, asof), (s, e, r, c, asof)
