@@ -3,7 +3,12 @@
 Usage: python scripts/dump_plans.py [sf_dir]
 
 Auto-broadcast is switched off so the files show the plan Spark picks for
-large inputs: only the size-checked explicit broadcasts remain.
+large inputs: only the size-checked explicit broadcasts remain. Run on the
+local test files, the plans also contain the small-input spreads
+(``hashpartitioning(event_id)`` / ``(o_orderkey)``, see
+``sources.tables.with_min_parallelism``) and the calendar adapter's
+``distinct`` (``hashpartitioning(calendar_day)``); neither exists for
+large, many-file inputs or a stored calendar table.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ def main(argv):
         with contextlib.redirect_stdout(buf):
             QUERIES[key](spark, sf_dir).explain("formatted")
         text = re.sub(r"#\d+L?", "", buf.getvalue())  # expression ids change per run
+        text = text.replace("\x00", "\\u0000")  # the null-key stand-in prefix
         with open(os.path.join(out_dir, f"{key}.txt"), "w") as f:
             f.write(text)
     spark.stop()
