@@ -48,13 +48,27 @@ def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt
     default partition and are never dropped. Each table has one staging
     folder, overwritten by the next run, so nothing accumulates; a rerun
     after a failure recomputes and converges to the same table.
+
+    A target that is not partitioned by ``partition_col`` is rewritten
+    whole instead: the replaced rows are staged first, then the table is
+    overwritten from the staged copy.
     """
     spark: SparkSession = new.sparkSession
-    rows = new.withColumn(partition_col, F.to_date(F.col(day_col)))
     stage = f"{checkpoint_dir(spark)}/staging/{table}"
+    exists = spark.catalog.tableExists(table)
+    partitioned = exists and any(
+        c.name == partition_col and c.isPartition for c in spark.catalog.listColumns(table))
+    if exists and not partitioned:
+        # Not partitioned by day: stage the whole replaced table, then
+        # overwrite it from the staged copy (a table cannot be overwritten
+        # while it is being read).
+        replace_window(spark.table(table), new, day_col, lo, hi).write.mode("overwrite").parquet(stage)
+        spark.read.parquet(stage).write.mode("overwrite").insertInto(table, overwrite=True)
+        return table
+    rows = new.withColumn(partition_col, F.to_date(F.col(day_col)))
     rows.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    if not spark.catalog.tableExists(table):
+    if not exists:
         staged.write.partitionBy(partition_col).format("parquet").saveAsTable(table)
         return table
     for day in _days(lo, hi):

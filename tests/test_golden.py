@@ -138,3 +138,16 @@ def test_publish_window_table(spark):
     for _ in range(2):  # a rerun gives the same table
         publish_window(new, table, "date_time", lo, hi)
         assert sorted(r.id for r in spark.table(table).collect()) == [3, 4, 9]
+
+
+def test_publish_window_unpartitioned_table(spark):
+    from cohortline.operators.load import publish_window
+
+    target, new = _window_case(spark)
+    lo, hi = D(2024, 1, 1), D(2024, 1, 8)
+    table = "policy_orders_flat"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    target.write.format("parquet").saveAsTable(table)
+    for _ in range(2):
+        publish_window(new, table, "date_time", lo, hi)
+        assert sorted(r.id for r in spark.table(table).collect()) == [3, 4, 9]
