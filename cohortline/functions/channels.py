@@ -84,6 +84,19 @@ def classify(host: Column, utm_lower: Column, channel: Column,
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
+def host_literals(rules: tuple[Rule, ...]) -> tuple[str, ...] | None:
+    """The plain substrings behind the rules' host patterns (``%text%`` with
+    no other wildcard), or None when some pattern is not of that form."""
+    lits = []
+    for rule in rules:
+        for p in rule.host_like:
+            inner = p[1:-1]
+            if not (p.startswith("%") and p.endswith("%")) or "%" in inner or "_" in inner or not inner:
+                return None
+            lits.append(inner)
+    return tuple(lits)
+
+
 @lru_cache(maxsize=64)
 def channel_label(host_col: str, utm_lower_col: str, channel_col: str,
                   rules: tuple[Rule, ...] = INSURANCE_RULES,

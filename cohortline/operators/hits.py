@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.channels import INSURANCE_RULES, Rule, channel_label
+from cohortline.functions.channels import INSURANCE_RULES, Rule, channel_label, host_literals
 from cohortline.functions.dates import day_between
 from cohortline.functions.keys import visit_id, visitor_id
 from cohortline.functions.urls import url_host
@@ -118,7 +118,21 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
 def with_custom_channel(df: DataFrame, *, referrer: str = "visit_referrer", utm: str = "utm_param",
                         channel: str = "default_channel", out: str = "custom_channel",
                         rules: tuple[Rule, ...] = INSURANCE_RULES) -> DataFrame:
-    """Add the rule-based channel label; host and lower(utm) are computed once."""
-    df = df.withColumns({"__host": url_host(referrer), "__utm": F.lower(F.col(utm))})
+    """Add the rule-based channel label; host and lower(utm) are computed once.
+
+    The host only feeds ``host LIKE '%name%'`` rule predicates, and a host is
+    a substring of its URL, so the host regex runs only for referrers that
+    contain one of those names; for the others it is null, which a ``CASE``
+    condition treats like false. Labels are unchanged.
+    """
+    host = url_host(referrer)
+    lits = host_literals(rules)
+    if lits is not None:
+        ref = F.col(referrer)
+        hit = None
+        for lit in lits:
+            hit = ref.contains(lit) if hit is None else (hit | ref.contains(lit))
+        host = F.when(hit, host) if hit is not None else F.lit(None).cast("string")
+    df = df.withColumns({"__host": host, "__utm": F.lower(F.col(utm))})
     df = df.withColumn(out, channel_label("__host", "__utm", channel, rules))
     return df.drop("__host", "__utm")
