@@ -30,7 +30,8 @@ RECONCILE_COLUMNS = (
 
 def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
               on: Sequence[str] = ("pid", "product"), member_on: str = "pid",
-              group: str = "product", members_broadcast_rows: int | None = 1_000_000) -> DataFrame:
+              group: str = "product", members_broadcast_rows: int | None = 1_000_000,
+              left_distinct: bool = False) -> DataFrame:
     """Counts of left (``bq``) and right (``grs``) rows by presence on the
     other side and by membership (``hub``) of the left row's key.
 
@@ -39,6 +40,11 @@ def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
     broadcast when they pass a size check of ``members_broadcast_rows``
     rows, which keeps the left side in its ``on`` partitioning for the
     outer join; a longer list is joined with a shuffle instead.
+
+    ``left_distinct`` declares that ``left`` has one row per ``on`` key (for
+    example the output of ``distinct()``); each key then counts once and the
+    per-key count aggregation, a second hash aggregation over the same keys,
+    is skipped.
     """
     on = list(on)
     if group not in on or member_on not in on:
@@ -49,8 +55,12 @@ def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
     n_l, n_c = F.col("__n_l"), F.col("__n_c")
     # Left: rows per key first (partial aggregation before any shuffle), then
     # the membership multiplicity of the key's member_on value.
+    if left_distinct:
+        counted = left.select(*on, F.lit(1).cast("bigint").alias("__n_l"))
+    else:
+        counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n_l"))
     lk = (
-        left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n_l"))
+        counted
         .join(m, member_on, "left")
         .select(
             *on,

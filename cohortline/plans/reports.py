@@ -145,7 +145,8 @@ def reconciliation(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
     """Policy-master purchases vs web purchases, by product. The call-centre
     list is matched on pid alone, as upstream."""
     return reconcile(bq_policies(inputs, lo, hi), grs_policies(inputs, lo, hi),
-                     callcentre_policies(inputs), on=("pid", "product"), member_on="pid")
+                     callcentre_policies(inputs), on=("pid", "product"), member_on="pid",
+                     left_distinct=True)
 
 
 # --- R6 / R9: scheduled retention (policy master x stored policy orders) -----

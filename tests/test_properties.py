@@ -125,6 +125,11 @@ def test_reconcile_matches_brute_force(spark, left, right, members):
     got = {r["product"]: tuple(r[c] for c in RECONCILE_COLUMNS)
            for r in reconcile(ldf, rdf, mdf).collect()}
     assert got == brute_reconcile(left, right, members)
+    # a distinct left side declared as such gives the brute-force answer too
+    dl = sorted(set(left), key=repr)
+    got_d = {r["product"]: tuple(r[c] for c in RECONCILE_COLUMNS)
+             for r in reconcile(ldf.distinct(), rdf, mdf, left_distinct=True).collect()}
+    assert got_d == brute_reconcile(dl, right, members)
 
 
 def test_visit_semi_join_reduction_keeps_result(spark, inputs_small):
