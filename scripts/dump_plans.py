@@ -38,6 +38,7 @@ def main(argv):
         with contextlib.redirect_stdout(buf):
             QUERIES[key](spark, sf_dir).explain("formatted")
         text = re.sub(r"#\d+L?", "", buf.getvalue())  # expression ids change per run
+        text = re.sub(r", \[plan_id=\d+\]", "", text)
         text = text.replace("\x00", "\\u0000")  # the null-key stand-in prefix
         with open(os.path.join(out_dir, f"{key}.txt"), "w") as f:
             f.write(text)
