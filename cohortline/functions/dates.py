@@ -61,8 +61,12 @@ def day_of(ts: Column | str) -> Column:
 
 
 def day_in_zone(ts: Column | str, zone: str = REPORT_ZONE) -> Column:
-    """Calendar day of a UTC wall-clock timestamp as seen in ``zone``."""
-    return F.to_date(F.from_utc_timestamp(_c(ts).cast("timestamp"), zone))
+    """Calendar day in ``zone`` of a zone-less timestamp recorded in UTC.
+
+    ``convert_timezone`` works on the zone-less value directly, so the result
+    does not depend on the session time zone.
+    """
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts)))
 
 
 @column_memo

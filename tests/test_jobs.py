@@ -43,3 +43,20 @@ def test_window_helpers():
     assert last_month_end(dt.date(2024, 3, 15)) == dt.date(2024, 2, 29)
     # 2024-06-30 14:30 UTC is already July 1st in Sydney
     assert today_in("Australia/Sydney", dt.datetime(2024, 6, 30, 14, 30)) == dt.date(2024, 7, 1)
+
+
+def test_day_in_zone_ignores_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from cohortline.functions.dates import day_in_zone
+
+    df = spark.createDataFrame([(dt.datetime(2024, 6, 30, 14, 30),), (dt.datetime(2024, 6, 30, 13, 0),)],
+                               "ts timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Australia/Sydney"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [r.d for r in df.select(day_in_zone("ts").alias("d")).orderBy(F.col("ts")).collect()]
+            assert got == [dt.date(2024, 6, 30), dt.date(2024, 7, 1)], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
