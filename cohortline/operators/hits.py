@@ -133,6 +133,6 @@ def with_custom_channel(df: DataFrame, *, referrer: str = "visit_referrer", utm:
         for lit in lits:
             hit = ref.contains(lit) if hit is None else (hit | ref.contains(lit))
         host = F.when(hit, host) if hit is not None else F.lit(None).cast("string")
+    cols = [c for c in df.columns if c != out]
     df = df.withColumns({"__host": host, "__utm": F.lower(F.col(utm))})
-    df = df.withColumn(out, channel_label("__host", "__utm", channel, rules))
-    return df.drop("__host", "__utm")
+    return df.select(*cols, channel_label("__host", "__utm", channel, rules).alias(out))
