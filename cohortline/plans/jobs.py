@@ -1,7 +1,9 @@
 """The scheduled and once-off jobs: reports written to tables.
 
 * ``backfill_policy_orders``: once-off create-or-replace of the policy-orders
-  table over a fixed window (stored partitioned by hit day).
+  table over a fixed window, stored partitioned by hit day and bucketed by
+  ``pid`` (so reports that join it to the policy master on the policy id
+  read it without a shuffle).
 * ``daily_policy_orders``: the daily reload of the trailing 8 days
   ``[today - 8, today - 1]`` (today in the report zone): only those day
   partitions are rewritten, so late hits up to 8 days old are picked up.
@@ -26,12 +28,23 @@ from cohortline.sources.tables import Inputs
 
 DAY_PARTITION = "hit_day"
 DASHBOARD_START = dt.date(2024, 3, 1)
+# Buckets of the stored policy orders; size so a bucket stays a few hundred MB.
+ORDER_BUCKETS = 64
 
 
-def backfill_policy_orders(inputs: Inputs, table: str, lo: dt.date, hi: dt.date) -> DataFrame:
-    """Create or replace ``table`` with the policy orders of ``[lo, hi]``."""
+def backfill_policy_orders(inputs: Inputs, table: str, lo: dt.date, hi: dt.date,
+                           buckets: int | None = ORDER_BUCKETS) -> DataFrame:
+    """Create or replace ``table`` with the policy orders of ``[lo, hi]``.
+
+    Partitioned by hit day (the daily reload drops and appends day
+    partitions) and bucketed by ``pid``: appends keep the bucketing, and a
+    join on the policy id shuffles only the other side.
+    """
     rows = R.policy_orders(inputs, lo, hi).withColumn(DAY_PARTITION, F.to_date("date_time"))
-    rows.write.mode("overwrite").partitionBy(DAY_PARTITION).format("parquet").saveAsTable(table)
+    writer = rows.write.mode("overwrite").partitionBy(DAY_PARTITION).format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, "pid")
+    writer.saveAsTable(table)
     return inputs.spark.table(table)
 
 

@@ -60,3 +60,22 @@ def test_day_in_zone_ignores_session_zone(spark):
             assert got == [dt.date(2024, 6, 30), dt.date(2024, 7, 1)], tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_stored_orders_join_without_shuffling_them(spark, inputs_small):
+    from tests.test_plans import formatted
+
+    orders = "po_bucketed_test"
+    spark.sql(f"DROP TABLE IF EXISTS {orders}")
+    jobs.backfill_policy_orders(inputs_small, orders, *P.BACKFILL_WINDOW, buckets=8)
+    jobs.daily_policy_orders(inputs_small, orders, today=P.DAILY_TODAY)  # appends keep buckets
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = R.retention_dashboard(inputs_small, spark.table(orders).drop(jobs.DAY_PARTITION),
+                                   *P.DASHBOARD_WINDOW)
+        text = formatted(df)
+        assert "Bucketed: true" in text
+        assert "hashpartitioning(pid" not in text  # the stored side is not shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
