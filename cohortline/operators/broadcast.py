@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +12,15 @@ _CHECKED: dict[tuple, bool] = {}
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most one more).
+    """True if ``df`` has at most ``max_rows`` rows (counts at most one more).
 
     The answer is remembered per session for the same plan over the same
     input files (``semanticHash`` + ``inputFiles``): a report that is built
     again, or two reports joining the same dimension, do not rerun the
     check. New files (a grown table) change the key, so the check runs again.
     """
-    key = (df.sparkSession, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    files = hashlib.blake2b("\n".join(sorted(df.inputFiles())).encode(), digest_size=16).digest()
+    key = (df.sparkSession, df.semanticHash(), files, max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
@@ -26,8 +29,9 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never reads
-    more than needed to prove the bound. Beyond the bound the join is left to
+    The check is a bounded count (``limit(max_rows + 1)``): a scan stops as
+    soon as the bound is exceeded (a derived side, such as an aggregate, is
+    computed once for it). Beyond the bound the join is left to
     the planner: a shuffled sort-merge join, or a runtime broadcast when AQE
     measures the side below ``spark.sql.autoBroadcastJoinThreshold``.
     """
