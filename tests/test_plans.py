@@ -96,3 +96,13 @@ def test_hot_key_dedup_shuffles_one_row_per_map_task(spark):
     assert re.search(r"WindowGroupLimit\nInput \[\d+\]: .*\nArguments: .*Partial", text)  # ... partial
     assert out.where("k = 'hot'").collect()[0].t == 0
     assert out.count() == 20001
+
+
+def test_size_check_reruns_when_files_are_added(spark, tmp_path):
+    from cohortline.operators.broadcast import fits
+
+    path = str(tmp_path / "dim")
+    spark.range(0, 5).write.parquet(path)
+    assert fits(spark.read.parquet(path), max_rows=5)
+    spark.range(5, 10).write.mode("append").parquet(path)  # the table grows past the bound
+    assert not fits(spark.read.parquet(path), max_rows=5)
