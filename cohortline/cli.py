@@ -7,8 +7,10 @@ policies=ins.policies,callcentre_car=ins.cc_car,callcentre_home=ins.cc_home,cale
 
 Sub-commands: ``backfill`` (create or replace the policy-orders table over
 ``--start``..``--end``), ``daily`` (reload the trailing 8 days),
-``dashboard`` (create or replace the retention pivot in ``--out-table``).
-The session is the one ``spark-submit`` provides; its settings are kept.
+``dashboard`` (create or replace the retention pivot in ``--out-table``),
+``report NAME`` (any report: written to ``--out-table``, or printed in key
+order when it is an aggregate). The session is the one ``spark-submit``
+provides; its settings are kept.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from cohortline.functions.dates import REPORT_ZONE, today_in, until_last_month_end, until_yesterday
+from cohortline.operators.load import full_refresh
 from cohortline.plans import jobs
+from cohortline.plans import reports as R
 from cohortline.session import configure
 from cohortline.sources.tables import catalog_inputs
 
@@ -35,12 +40,62 @@ def _tables(spec: str) -> dict[str, str]:
     return {n: pairs[n] for n in INPUT_NAMES}
 
 
+# report name -> (builder, window kind, needs the stored policy orders, group keys)
+REPORTS = {
+    "policy_orders": (lambda i, o, lo, hi: R.policy_orders(i, lo, hi), "range", False, None),
+    "purchases_default": (lambda i, o, lo, hi: R.purchases_by_default_channel(i, lo, hi), "range",
+                          False, ["product", "channel_name"]),
+    "purchases_custom": (lambda i, o, lo, hi: R.purchases_by_custom_channel(i, lo, hi), "range",
+                         False, ["product", "custom_channel"]),
+    "reconcile": (lambda i, o, lo, hi: R.reconciliation(i, lo, hi), "range", False, ["product"]),
+    "retention_monthly": (R.retention_monthly, "yesterday", True,
+                          ["product", "start_month", "custom_channel"]),
+    "retention_weekly": (lambda i, o, lo, hi: R.retention_weekly(i, lo, hi), "yesterday", False,
+                         ["product", "purchase_week", "custom_channel"]),
+    "retention_monthly_manual": (lambda i, o, lo, hi: R.retention_monthly_manual(i, lo, hi),
+                                 "yesterday", False, ["product", "purchase_month", "custom_channel"]),
+    "dashboard": (R.retention_dashboard, "last_month_end", True,
+                  ["product", "purchase_month", "start_month", "utm_param", "custom_channel",
+                   "default_channel"]),
+}
+
+
+def _report(spark, inputs, args) -> None:
+    if args.name not in REPORTS:
+        raise SystemExit(f"unknown report {args.name!r}; one of {', '.join(REPORTS)}")
+    build, window, needs_orders, keys = REPORTS[args.name]
+    if window == "range":
+        if not (args.start and args.end):
+            raise SystemExit(f"{args.name} needs --start and --end")
+        lo, hi = args.start, args.end
+    else:
+        if not args.start:
+            raise SystemExit(f"{args.name} needs --start (and optionally --today)")
+        today = args.today or today_in(REPORT_ZONE)
+        lo, hi = (until_yesterday if window == "yesterday" else until_last_month_end)(args.start, today)
+    orders = None
+    if needs_orders:
+        if not args.orders_table:
+            raise SystemExit(f"{args.name} reads the stored policy orders: give --orders-table")
+        orders = spark.table(args.orders_table).drop(jobs.DAY_PARTITION)
+    df = build(inputs, orders, lo, hi)
+    if args.out_table:
+        full_refresh(df, table=args.out_table)
+    elif keys is None:
+        raise SystemExit(f"{args.name} is row-level: give --out-table")
+    else:
+        ordered = jobs.present(df, keys)
+        ordered.show(n=max(ordered.count(), 1), truncate=False)  # the whole (aggregated) report
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cohortline")
-    ap.add_argument("command", choices=("backfill", "daily", "dashboard"))
+    ap.add_argument("command", choices=("backfill", "daily", "dashboard", "report"))
+    ap.add_argument("name", nargs="?", help="report name for the report command")
     ap.add_argument("--tables", required=True, help="input=table pairs, comma separated")
-    ap.add_argument("--orders-table", required=True)
-    ap.add_argument("--out-table", help="dashboard output table")
+    ap.add_argument("--orders-table", help="stored policy orders (backfill, daily, dashboard, "
+                                             "retention_monthly)")
+    ap.add_argument("--out-table", help="output table (dashboard, report)")
     ap.add_argument("--today", type=dt.date.fromisoformat, help="default: today in the report zone")
     ap.add_argument("--start", type=dt.date.fromisoformat)
     ap.add_argument("--end", type=dt.date.fromisoformat)
@@ -48,6 +103,11 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = configure(SparkSession.builder.getOrCreate())
     inputs = catalog_inputs(spark, **_tables(args.tables))
+    if args.command == "report":
+        _report(spark, inputs, args)
+        return 0
+    if not args.orders_table:
+        raise SystemExit(f"{args.command} needs --orders-table")
     if args.command == "backfill":
         if not (args.start and args.end):
             raise SystemExit("backfill needs --start and --end")

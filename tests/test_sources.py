@@ -85,3 +85,18 @@ def test_day_partitioned_hits_prune_partitions(spark, inputs_small, stored_input
     assert _rows(df) == _rows(R.purchases_by_custom_channel(stored_inputs, *P.DAILY_WINDOW))
     assert _rows(R.policy_orders(by_day, *P.DAILY_WINDOW)) == \
         _rows(R.policy_orders(stored_inputs, *P.DAILY_WINDOW))
+
+
+def test_cli_report_command(spark, stored_inputs, capsys):
+    from cohortline import cli
+
+    spec = ",".join(f"{t}=src_{t}" for t in TABLES)
+    spark.sql("DROP TABLE IF EXISTS cli_recon")
+    assert cli.main(["report", "reconcile", "--tables", spec, "--out-table", "cli_recon",
+                     "--start", P.PURCHASE_WINDOW[0].isoformat(),
+                     "--end", P.PURCHASE_WINDOW[1].isoformat()]) == 0
+    assert _rows(spark.table("cli_recon")) == _rows(R.reconciliation(stored_inputs, *P.PURCHASE_WINDOW))
+    assert cli.main(["report", "retention_weekly", "--tables", spec,
+                     "--start", P.RETENTION_START.isoformat(), "--today", P.WEEKLY_TODAY.isoformat()]) == 0
+    out = capsys.readouterr().out
+    assert "purchase_week" in out and "renewal_rate" in out
