@@ -151,3 +151,14 @@ def test_publish_window_unpartitioned_table(spark):
     for _ in range(2):
         publish_window(new, table, "date_time", lo, hi)
         assert sorted(r.id for r in spark.table(table).collect()) == [3, 4, 9]
+
+
+def test_url_host_golden_in_duckdb_oracle():
+    import duckdb
+
+    from cohortline.plans.oracle import host
+
+    con = duckdb.connect()
+    for u, want in URLS:
+        got = con.execute(f"select {host('?')}", [u]).fetchall()[0][0]
+        assert got == want, u
