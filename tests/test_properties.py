@@ -213,3 +213,65 @@ def test_lifecycle_flags_match_plain_python(spark, rows, asof):
     got = {r.i: tuple(r[c] for c in FLAG_COLUMNS) for r in out.collect()}
     for i, s, e, r, c in data:
         assert got[i] == py_flags(s, e, r, c, asof), (s, e, r, c, asof)
+
+
+# --- channel rules vs a plain-Python evaluation (three-valued logic) ---------
+
+def _like(value, pattern):
+    import re
+    if value is None:
+        return None
+    rx = "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in pattern)
+    return re.fullmatch(rx, value, flags=re.S) is not None
+
+
+def _or(*xs):
+    return True if any(x is True for x in xs) else (None if any(x is None for x in xs) else False)
+
+
+def _and(*xs):
+    return False if any(x is False for x in xs) else (None if any(x is None for x in xs) else True)
+
+
+def py_label(referrer, utm, channel):
+    import re
+
+    from cohortline.functions.channels import DEFAULT_LABEL, INSURANCE_RULES
+    from cohortline.functions.urls import HOST_PATTERN
+
+    host = None
+    if referrer is not None:
+        m = re.match(HOST_PATTERN, referrer)
+        host = (m.group(1) or None) if m else None
+    u = utm.lower() if utm is not None else None
+    eq = (lambda c: None if channel is None else channel == c)
+    for rule in INSURANCE_RULES:
+        preds = [_like(host, p) for p in rule.host_like] + [_like(u, p) for p in rule.utm_like]
+        preds += [eq(c) for c in rule.channel_in]
+        cond = _or(*preds) if preds else None
+        if rule.require_channel:
+            req = _or(*[eq(c) for c in rule.require_channel])
+            cond = req if not preds else _and(req, cond)
+        if cond is True:
+            return rule.label
+    return DEFAULT_LABEL
+
+
+REFS = [None, "", "https://www.comparethemarket.com.au/x", "comparethemarket", "http://a/?q=choosi",
+        "//u@iselect.com/", "https://ISELECT.com", "www.choosi.com.au", "https://x.org/iselect"]
+UTMS_ = [None, "", "UTM:CTM-x", "a_pmax", "performance-max", "performance_max", "LASER-1", "Email",
+         "utm:Rewards", "tiktok", "utm:choosi", "pmax", "x"]
+CHS = [None, "direct", "email", "paid search", "social", "organic search", "display", "Direct"]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(REFS), st.sampled_from(UTMS_), st.sampled_from(CHS)),
+                     min_size=1, max_size=40))
+def test_channel_rules_match_plain_python(spark, rows):
+    from cohortline.operators.hits import with_custom_channel
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, visit_referrer string, utm_param string, default_channel string")
+    got = {r.i: r.custom_channel for r in with_custom_channel(df).collect()}
+    for i, (ref, utm, ch) in enumerate(rows):
+        assert got[i] == py_label(ref, utm, ch), (ref, utm, ch)
