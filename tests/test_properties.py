@@ -275,3 +275,25 @@ def test_channel_rules_match_plain_python(spark, rows):
     got = {r.i: r.custom_channel for r in with_custom_channel(df).collect()}
     for i, (ref, utm, ch) in enumerate(rows):
         assert got[i] == py_label(ref, utm, ch), (ref, utm, ch)
+
+
+_jan = st.none() | st.integers(min_value=1, max_value=31)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(_jan, max_size=12), new=st.lists(st.integers(min_value=1, max_value=31), max_size=5),
+       lo=st.integers(min_value=1, max_value=31), span=st.integers(min_value=0, max_value=10))
+def test_replace_window_matches_plain_python(spark, target, new, lo, span):
+    import datetime as dt
+
+    from cohortline.operators.load import replace_window
+
+    hi = min(lo + span, 31)
+    ts = (lambda d: dt.datetime(2024, 1, d, 6) if d else None)
+    tdf = spark.createDataFrame([(i, ts(d)) for i, d in enumerate(target)], "id int, date_time timestamp_ntz")
+    ndf = spark.createDataFrame([(100 + i, ts(d)) for i, d in enumerate(new)], "id int, date_time timestamp_ntz")
+    got = sorted(r.id for r in replace_window(tdf, ndf, "date_time", dt.date(2024, 1, lo),
+                                              dt.date(2024, 1, hi)).collect())
+    want = sorted([i for i, d in enumerate(target) if d is None or not lo <= d <= hi]
+                  + [100 + i for i in range(len(new))])
+    assert got == want
