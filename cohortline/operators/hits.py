@@ -14,6 +14,7 @@ from cohortline.functions.dates import day_between
 from cohortline.functions.keys import visit_id, visitor_id
 from cohortline.functions.urls import url_host
 from cohortline.operators.broadcast import fits
+from cohortline.session import checkpoint_dir
 from cohortline.sources.adapters import PAGE_CAR, PAGE_HOME, PAGE_TRAVEL
 from cohortline.sources.schemas import HIT_DAY
 
@@ -90,7 +91,9 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
     keys are broadcast and the visits are semi-joined to them before the
     shuffle, so only matching visits move. ``None`` (auto) turns it on when
     the visit input spans many files; beyond the bound the plain shuffled
-    join is used.
+    join is used. The hit side is then checkpointed once to the shared
+    ``spark.checkpoint.dir`` (purchase hits are a small share of all hits),
+    so the key check and the join read it instead of scanning the hits twice.
     """
     vis = visitor_id(high, low) if visitor is None else F.col(visitor)
     key = visit_id(vis, visit_num)
@@ -104,6 +107,8 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
     if reduce_visits is None:
         reduce_visits = len(visits.inputFiles()) >= REDUCE_MIN_FILES
     if reduce_visits:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
         keys = df.select(key.alias("__hit_visit_id")).where(F.col("__hit_visit_id").isNotNull()).distinct()
         if fits(keys, reduce_max_keys):
             v = v.join(F.broadcast(keys), F.col("__visit_id") == F.col("__hit_visit_id"), "left_semi")
