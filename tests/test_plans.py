@@ -106,3 +106,20 @@ def test_size_check_reruns_when_files_are_added(spark, tmp_path):
     assert fits(spark.read.parquet(path), max_rows=5)
     spark.range(5, 10).write.mode("append").parquet(path)  # the table grows past the bound
     assert not fits(spark.read.parquet(path), max_rows=5)
+
+
+def test_visit_reduction_engages_automatically_for_many_file_visits(spark, inputs_small, tmp_path):
+    from cohortline.operators.hits import REDUCE_MIN_FILES, purchase_hits, with_visit
+    from cohortline.plans import params as P
+
+    path = str(tmp_path / "visits")
+    inputs_small.visits.repartition(REDUCE_MIN_FILES).write.parquet(path)
+    many = spark.read.parquet(path)
+    assert len(many.inputFiles()) >= REDUCE_MIN_FILES
+    h = purchase_hits(inputs_small.hits, *P.PURCHASE_WINDOW).select(
+        "event_id", "post_visid_high", "post_visid_low", "visit_num")
+    auto = with_visit(h, many)
+    assert "LeftSemi" in formatted(auto)
+    plain = with_visit(h, inputs_small.visits, reduce_visits=False)
+    assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, plain.collect()))
+    assert "LeftSemi" not in formatted(with_visit(h, inputs_small.visits))  # few files: off
