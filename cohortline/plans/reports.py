@@ -1,8 +1,9 @@
 """The reports (R1-R9), composed from the operators.
 
 Each function returns a lazy DataFrame; nothing runs until the caller acts
-on it. Shuffles per report are listed in the docstrings; dimension joins
-(channel, calendar) are size-checked broadcasts and never shuffle the hits.
+on it. The shuffles of each report are listed in README ("Designed for
+scale") and visible in ``docs/plans/``; dimension joins (channel, calendar)
+are size-checked broadcasts and never shuffle the hits.
 """
 
 from __future__ import annotations
