@@ -40,3 +40,17 @@ def duck(sf_dir):
         if os.path.exists(p):
             con.execute(f"create view {t} as select * from read_parquet('{p}')")
     return con
+
+
+# Spark simple type name -> DuckDB type name, for the types the reports emit.
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
+
+
+def type_mismatches(spark_dtypes, duck_columns, duck_types) -> dict:
+    """Columns whose Spark and DuckDB types differ: {name: (spark, duckdb)}."""
+    duck = dict(zip(duck_columns, (str(t) for t in duck_types)))
+    return {c: (t, duck.get(c)) for c, t in spark_dtypes
+            if SPARK_TO_DUCK.get(t, t) != duck.get(c)}

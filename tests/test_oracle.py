@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from cohortline.plans.verify import canon, duck
+from cohortline.plans.verify import canon, duck, type_mismatches
 from tests.conftest import SF_SMALL
 
 KEYS = sorted(entry.queries())
@@ -24,6 +24,7 @@ def test_query_matches_oracle(spark, con, key):
     rows = [tuple(r) for r in df.collect()]
     rel = con.sql(entry.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    assert type_mismatches(df.dtypes, rel.columns, rel.types) == {}
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert canon(rows, df.columns) == canon(orows, rel.columns)
