@@ -11,6 +11,20 @@ partial row per map task) and the row counts of the outer join are
 computed from the multiplicities. The result is exactly the same numbers,
 but a policy listed many times, or matched by many hits, never multiplies
 rows in a shuffle.
+
+Per join key k = (pid, product): n_l left rows, each listed c times in the
+membership list (c = 0 when absent, one left-join row then), g right rows.
+With L = n_l * max(c, 1) left-join rows, of which H = n_l * c are members
+and N = n_l * [c = 0] are not, the full outer join yields L * g rows
+(g > 0), L rows (g = 0) or g rows (n_l = 0). Hence, summed over keys:
+
+    bq_sales = L * max(g, 1)          grs_sales = g * max(L, 1) if L else g
+    bq_hub_sales = H * max(g, 1)      bq_nonhub_sales = N * max(g, 1)
+    both_sales = L * g                nonhub_both_sales = N * g
+    bq_only_sales = L * [g = 0]       bq_nonhub_only_sales = N * [g = 0]
+    grs_only_sales = g * [L = 0]
+
+Null keys never match, as in SQL; they stay one-sided.
 """
 
 from __future__ import annotations
