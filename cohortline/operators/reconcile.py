@@ -18,7 +18,7 @@ With L = n_l * max(c, 1) left-join rows, of which H = n_l * c are members
 and N = n_l * [c = 0] are not, the full outer join yields L * g rows
 (g > 0), L rows (g = 0) or g rows (n_l = 0). Hence, summed over keys:
 
-    bq_sales = L * max(g, 1)          grs_sales = g * max(L, 1) if L else g
+    bq_sales = L * max(g, 1)          grs_sales = g * max(L, 1)
     bq_hub_sales = H * max(g, 1)      bq_nonhub_sales = N * max(g, 1)
     both_sales = L * g                nonhub_both_sales = N * g
     bq_only_sales = L * [g = 0]       bq_nonhub_only_sales = N * [g = 0]
