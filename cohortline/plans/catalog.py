@@ -7,6 +7,7 @@ keys exercise one operator each; report keys run a full report.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -239,8 +240,13 @@ def q_report_dashboard(spark, sf_dir):
 
 
 def q_dashboard_refresh(spark, sf_dir):
-    """Full refresh (create or replace) of the dashboard pivot in shared storage."""
-    path = f"{checkpoint_dir(spark)}/tables/retention_channel_pivot"
+    """Full refresh (create or replace) of the dashboard pivot in shared storage.
+
+    Each call writes its own folder, so a DataFrame returned by an earlier
+    call keeps reading the files it listed (the scheduled job writes a named
+    table instead: ``jobs.monthly_dashboard``).
+    """
+    path = f"{checkpoint_dir(spark)}/tables/retention_channel_pivot/{uuid.uuid4().hex}"
     return full_refresh(q_report_dashboard(spark, sf_dir), path=path)
 
 
