@@ -72,16 +72,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a fresh scratch folder is created and recorded
-    in the session so later calls agree.
+    Read from ``spark.checkpoint.dir`` (set by the cluster) or from the folder
+    the application set. Only a local session may go without: it gets a
+    scratch folder of its own, recorded in the session. On any other master a
+    folder of the driver would be invisible to the executors, so that is an
+    error.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        # Unset: only the case in local runs. A cluster always names a
-        # shared folder, and it is never replaced here.
-        path = tempfile.mkdtemp(prefix="cohortline-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortline-ckpt-"))
+        path = context.getCheckpointDir()
     return path.rstrip("/")
