@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from cohortline.llm.simhash import op7_simhash
+from cohortline.llm.tokenfiles import op4_bitplane_tokens
 
 QUERIES = {
+    "op4_bitplane_tokens": op4_bitplane_tokens,
     "op7_simhash": op7_simhash,
 }
 
