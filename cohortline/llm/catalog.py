@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
 
 QUERIES = {
     "op4_bitplane_tokens": op4_bitplane_tokens,
     "op7_simhash": op7_simhash,
+    "op8_pfair_mix": op8_pfair_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_pfair_mix": OP8_SQL,
+}
