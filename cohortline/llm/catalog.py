@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
 
 QUERIES = {
+    "op3_pigeonhole_decontaminate": op3_pigeonhole_decontaminate,
     "op4_bitplane_tokens": op4_bitplane_tokens,
     "op7_simhash": op7_simhash,
     "op8_pfair_mix": op8_pfair_mix,
