@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
+from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_bitplane_tokens": op4_bitplane_tokens,
     "op7_simhash": op7_simhash,
     "op8_pfair_mix": op8_pfair_mix,
+    "op10_mincut_extract": op10_mincut_extract,
 }
 
 ORACLE_SQL: dict[str, str] = {
