@@ -7,10 +7,12 @@ from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
+from cohortline.llm.toxicity import op5_mil_toxicity
 
 QUERIES = {
     "op3_pigeonhole_decontaminate": op3_pigeonhole_decontaminate,
     "op4_bitplane_tokens": op4_bitplane_tokens,
+    "op5_mil_toxicity": op5_mil_toxicity,
     "op7_simhash": op7_simhash,
     "op8_pfair_mix": op8_pfair_mix,
     "op10_mincut_extract": op10_mincut_extract,
