@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Pages of the classifier's training sample (those with the lowest hash of their address).
 TRAIN_PAGES = 2000
@@ -353,7 +354,7 @@ def extract(pages: DataFrame, html_col: str = "html", out_col: str = "main_text"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())],
                                              names=[*batch.schema.names, out_col])
 
-    schema = pages.schema.add(out_col, "string")
+    schema = StructType([*pages.schema.fields, StructField(out_col, StringType())])
     return pages.mapInArrow(run, schema)
 
 
