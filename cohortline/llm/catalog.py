@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
+from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.simhash import op7_simhash
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_pigeonhole_decontaminate": op3_pigeonhole_decontaminate,
     "op4_bitplane_tokens": op4_bitplane_tokens,
     "op5_mil_toxicity": op5_mil_toxicity,
+    "op6_hyperplane_neardup": op6_hyperplane_neardup,
     "op7_simhash": op7_simhash,
     "op8_pfair_mix": op8_pfair_mix,
     "op10_mincut_extract": op10_mincut_extract,
