@@ -6,6 +6,7 @@ from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
 from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
+from cohortline.llm.quality import op9_cotrain_quality
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
 from cohortline.llm.toxicity import op5_mil_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_hyperplane_neardup": op6_hyperplane_neardup,
     "op7_simhash": op7_simhash,
     "op8_pfair_mix": op8_pfair_mix,
+    "op9_cotrain_quality": op9_cotrain_quality,
     "op10_mincut_extract": op10_mincut_extract,
 }
 

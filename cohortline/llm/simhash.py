@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import (chunked, connected_components, group_starts, local_components,
@@ -199,6 +199,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("id", "fp", "component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
+             max_bits: int = MAX_BITS, parts: tuple[Part, ...] = PARTS) -> DataFrame:
+    """The row with the smallest id of every near-duplicate class, columns unchanged.
+
+    Of rows that share that id the one with the smallest text stays. Rows with a
+    null id stay, as nothing names them.
+    """
+    found = near_duplicates(docs, id_col, text_col, words, max_bits, parts)
+    keep = found.where("id = component_id").select(F.col("id").alias("_keep")).distinct()
+    named = docs.join(keep, docs[id_col].cast("long") == F.col("_keep"), "left_semi")
+    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+    once = named.withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
+    return once.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` (contract of the query)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
