@@ -23,17 +23,19 @@ unused file and never a half-written one.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import scratch, stage
@@ -42,8 +44,8 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Words remembered per task; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
+#: Chunks remembered per Python worker; beyond it the memory starts anew.
+CACHE_WORDS = 600_000
 LEVEL = 3
 
 
@@ -165,57 +167,103 @@ class ShardReader:
 
 # --- encoding ---------------------------------------------------------------
 
+#: Stands for the end of a document; no chunk can be a line feed.
+END = "\n"
+#: A chunk that is a Latin word with plain marks behind it (no apostrophe: contractions split).
+_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|]*)\Z")
+_LETTERS = "".join(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+
+
+class _Numbers(dict):
+    """Numbers chunks as they are first asked for; ``new`` lists the latest."""
+
+    def __init__(self) -> None:
+        self.update({"": 0, END: 1})
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        n = self[chunk] = len(self)
+        return n
+
+
 class WordEncoder:
     """Encodes texts chunk by chunk between ASCII white space.
 
     The tokenizer's normaliser and splitter never join characters across
     white space, so the ids of a text are those of its chunks in order; each
-    distinct chunk is encoded once per task while it is remembered.
+    distinct chunk is encoded once while it is remembered. The splitter also
+    parts letters from marks and lower-cases, so a Latin word is encoded once for all
+    its capitals and marks, by the tokenizer's model directly; all other
+    chunks take the whole tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int = END_ID, cache: int = CACHE_WORDS) -> None:
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, end_id: int = END_ID, limit: int = CACHE_WORDS) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id, self.cache = end_id, cache
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {ord(c): spell(c)[0][0] for c in _LETTERS}
+        self.end_id, self.limit = end_id, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {"": 0}  # the entry that ends a document
+        self.known = _Numbers()
+        self.words: dict[str, list[int]] = {}
         self.flat = np.array([self.end_id], np.uint32)
-        self.start = np.zeros(1, np.int64)
-        self.size = np.ones(1, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        ids: list[np.ndarray] = [np.array(e.ids, np.uint32)
-                                 for at in range(0, len(words), 20000)
-                                 for e in self.tokenizer.encode_batch(words[at:at + 20000], add_special_tokens=False)]
+        self.start = np.zeros(2, np.int64)
+        self.size = np.array([0, 1], np.int64)
+
+    def _word(self, word: str) -> list[int]:
+        spelled = word if word.isascii() else word.translate(self.spelling)
+        ids = self.words[word] = [t.id for t in self.model.tokenize(spelled)]
+        return ids
+
+    def _whole(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for at in range(0, len(chunks), 20000)
+                for e in self.tokenizer.encode_batch_fast(chunks[at:at + 20000], add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        found = [_LATIN.match(c) for c in chunks]
+        tails = [t for t in {m[2] for m in found if m} if t not in self.words]
+        self.words.update(zip(tails, self._whole(tails)))
+        others = iter(self._whole([c for c, m in zip(chunks, found) if m is None]))
+        words, learn = self.words, self._word
+        ids = []
+        for m in found:
+            if m is None:
+                ids.append(next(others))
+                continue
+            word, tail = m.groups()
+            word = word.lower()
+            head = words.get(word) or learn(word)
+            ids.append(head + words[tail] if tail else head)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        base = len(self.known)
-        self.known.update(zip(words, range(base, base + len(words))))
         self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
         self.size = np.append(self.size, size)
-        self.flat = np.concatenate([self.flat, *ids])
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per text, all tokens); every text ends with the end id."""
-        if len(self.known) > self.cache:
+        if len(self.known) > self.limit:
             self._clear()
-        split = [t.split() if t.isascii() and "\x1c" not in t and "\x1d" not in t and "\x1e" not in t
-                 and "\x1f" not in t else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                 for t in texts]
-        words = {w for s in split for w in s}
-        if new := [w for w in words if w not in self.known]:
+        chunks = [c for t in texts
+                  for c in (*t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "), END)]
+        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        if new := self.known.new:
             self._learn(new)
-        known = self.known
-        which = [known[w] for s in split for w in (*s, "")] if "" not in words else \
-            [known[w] for s in split for w in (*filter(None, s), "")]
-        at = np.array(which, np.int64)
+            self.known.new = []
         size = self.size[at]
-        out = self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        ends = np.flatnonzero(at == 0)
-        total = np.cumsum(size)[ends]
-        return np.diff(total, prepend=0), out
+        end = np.cumsum(size)
+        out = self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(end[-1] if len(end) else 0)]
+        return np.diff(end[at == 1], prepend=0), out
+
+
+@cache
+def encoder(path: str, end_id: int) -> WordEncoder:
+    """One encoder per Python worker; what it remembers serves later tasks."""
+    return WordEncoder(path, end_id)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -228,26 +276,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str = TOKENIZER, end_id: int = END_ID, mode: str = "bytes",
-                 block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Write the tokens of ``docs`` in ascending id order; returns the shards.
-
-    ``(shard, uri, n_docs, n_ids)`` with the shards numbered in id order. A
-    null or empty text is just the end id. Rows with equal ids (ties, repeated
-    rows) are all written, next to each other, ordered by text; a null id sorts
-    first and is stored as null. Other columns are ignored. An
-    empty table writes nothing and has no shards.
+                 block_ids: int = BLOCK_IDS, order: list[Column] | None = None) -> DataFrame:
+    """Write the tokens of ``docs``; returns the shards.
+
+    ``(shard, uri, n_docs, n_ids)`` with the shards numbered in document order:
+    by ascending id, or by the columns of ``order``. A null or empty text is just
+    the end id. Rows with equal ids (ties, repeated rows) are all written, next to
+    each other, ordered by text; a null id sorts first and is stored as null.
+    Other columns are ignored. An empty table writes nothing and has no shards.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        writer = encode = None
+        writer = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if writer is None:
                 uri = f"{folder}/{uuid.uuid4().hex}.idp"
-                writer, encode = ShardWriter(uri, mode, block_ids), WordEncoder(tokenizer_path(tokenizer), end_id)
+                writer, encode = ShardWriter(uri, mode, block_ids), encoder(tokenizer_path(tokenizer), end_id)
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for at in range(0, len(ids), 256):
                 sizes, tokens = encode(texts[at:at + 256])
@@ -258,9 +306,10 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                                                "n_docs": len(writer.docs), "n_ids": writer.n_ids}], schema=arrow)
 
     arrow = pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), "t")
+    given = [c.alias(f"o{k}") for k, c in enumerate(order or [])]
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *given)
+    by = [F.col(f"o{k}") for k in range(len(given))] or [F.col("id").asc_nulls_first()]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by, "t").select("id", "t")
     return stage(ordered.mapInArrow(run, "shard int, uri string, n_docs long, n_ids long"), "shards")
 
 
