@@ -36,6 +36,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column of ``taken`` has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def drop_stage(df: DataFrame) -> None:
     """Delete a table written by :func:`stage` once nothing reads it any more."""
     path = getattr(df, "_llm_path", None)

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cohortline.llm.common import fresh
+
 #: Pages of the classifier's training sample (those with the lowest hash of their address).
 TRAIN_PAGES = 2000
 #: Weight of the edge between neighbours with the same parent; less with more DOM steps between.
@@ -333,11 +335,10 @@ def extract(pages: DataFrame, html_col: str = "html", out_col: str = "main_text"
     """``pages`` plus ``out_col``: the main text, its blocks joined by a newline.
 
     Null, empty or contentless html gives an empty text. Every other column
-    and every row (repeated ones too) is kept as it is; an existing column called ``out_col`` is
-    an error. Nothing is cut from long pages.
+    and every row (repeated ones too) is kept as it is; if the table already has a column
+    called ``out_col``, underscores are added to the new one's name. Nothing is cut from long pages.
     """
-    if out_col.lower() in {c.lower() for c in pages.columns}:
-        raise ValueError(f"the table already has a column {out_col}")
+    out_col = fresh(out_col, pages.columns)
     w = fit(pages, url_col, html_col) if weights is None else weights
     place = pages.columns.index(html_col)
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import stage
+from cohortline.llm.common import fresh, stage
 
 #: Resolution of the target weights, and slots in one period.
 SLOTS = 1024
@@ -97,80 +97,74 @@ def period(turns: DataFrame, slots: int = SLOTS) -> DataFrame:
                     F.col("slot").cast("long").alias("slot")))
 
 
-def ranked(docs: DataFrame, source_col: str, id_col: str) -> DataFrame:
-    """``docs`` plus ``_rank`` (from 0 in its source, in the order of the md5 of
-    the id) and ``_n`` (the source's documents).
+def ranked(rows: DataFrame) -> DataFrame:
+    """``rows(row, source, id)`` plus ``rank`` (from 0 in its source, in the order of the
+    md5 of the id) and ``n`` (the source's documents).
 
-    A source is dealt into 16^d equal ranges of the md5, d chosen so that a range holds about
-    RANK_ROWS documents, and only ranges are sorted: a source with a third of
-    all rows is spread over as many tasks as its size asks for. A range's
+    A source is dealt into 16^d equal ranges of the md5, d chosen so that a range
+    holds about RANK_ROWS documents, and only ranges are sorted: a source with a
+    third of all rows is spread over as many tasks as its size asks for. A range's
     offset is the number of documents in the ranges before it.
     """
-    rows = docs.count()
-    digits = 0
-    while rows > RANK_ROWS * 16 ** digits:
+    total, digits = rows.count(), 0
+    while total > RANK_ROWS * 16 ** digits:
         digits += 1
-    keyed = (docs.withColumn("_md5", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")))
-             .withColumn("_range", F.substring("_md5", 1, digits) if digits else F.lit("")))
-    counts = (keyed.groupBy(F.col(source_col).alias("_s"), F.col("_range").alias("_r"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    by_source = Window.partitionBy("_s")
-    offsets = counts.select("_s", "_r", F.sum("_c").over(by_source).alias("_n"),
-                            (F.sum("_c").over(by_source.orderBy("_r")) - F.col("_c")).alias("_before"))
-    ties = [F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")]
-    inside = Window.partitionBy(source_col, "_range").orderBy("_md5", *ties)
-    with_rank = keyed.withColumn("_in", F.row_number().over(inside) - 1)
-    joined = with_rank.join(offsets, with_rank[source_col].eqNullSafe(offsets["_s"])
-                            & (with_rank["_range"] == offsets["_r"]))
-    return (joined.withColumn("_rank", F.col("_before") + F.col("_in"))
-            .drop("_md5", "_range", "_in", "_s", "_r", "_before"))
+    keyed = (rows.withColumn("md5", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
+             .withColumn("range", F.substring("md5", 1, digits) if digits else F.lit("")))
+    counts = keyed.groupBy(F.col("source").alias("of"), F.col("range").alias("in")).agg(F.count(F.lit(1)).alias("c"))
+    by_source = Window.partitionBy("of")
+    offsets = counts.select("of", "in", F.sum("c").over(by_source).alias("n"),
+                            (F.sum("c").over(by_source.orderBy("in")) - F.col("c")).alias("before"))
+    ties = [F.col("row").getField(f.name) for f in rows.schema["row"].dataType.fields
+            if "map" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    inside = Window.partitionBy("source", "range").orderBy("md5", *ties)
+    return (keyed.withColumn("at", F.row_number().over(inside) - 1)
+            .join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in")))
+            .select("row", "source", "n", (F.col("before") + F.col("at")).alias("rank")))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "source", id_col: str = "doc_id",
         block_rows: int = BLOCK_ROWS, slots: int = SLOTS) -> DataFrame:
-    """``docs`` repeated and ordered to the target weights.
+    """``docs`` repeated and placed to the target weights.
 
     Adds ``source_block``, ``slot`` (of the block, from 0), ``epoch`` and ``position`` (of
-    the document, ascending along the mix). The mix is just long enough for every
-    document of every source to appear: a source short of its share starts
-    another epoch, so none is dropped. ``weights(source, weight)`` defaults to
-    :func:`target_weights`; a source it does not name, or names with a null or
-    non-positive weight, is not part of the mix, and a named source without
-    documents is left out. A null source is a source like any other. Rows with
-    equal or null ids keep one place each, in the order of their columns. An
-    empty table gives an empty mix. ``docs`` must not have columns called like the
-    added ones; other columns are kept.
+    the document, ascending along the mix); where ``docs`` has a column of that
+    name, underscores are added to the new one's. The mix is just long enough
+    for every document of every source to appear: a source short of its share
+    starts another epoch, so none is dropped. ``weights(source, weight)``
+    defaults to :func:`target_weights`; a source it does not name, or names with
+    a null or non-positive weight, is not part of the mix, and a named source
+    without documents is left out. A null source is a source like any other.
+    Rows with equal or null ids keep one place each, in the order of their
+    columns. An empty table gives an empty mix.
     """
-    added = {"source_block", "slot", "epoch", "position"}
-    if clash := added & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns clash with the mix's own: {sorted(clash)}")
-    present = docs.groupBy(F.col(source_col).alias("_p")).agg(F.count(F.lit(1)).alias("_docs"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).alias("source"), F.col(id_col).alias("id"))
+    present = rows.groupBy(F.col("source").alias("present")).agg(F.count(F.lit(1)).alias("docs"))
     weights = target_weights(docs, source_col) if weights is None else weights
     named = (weights.groupBy("source").agg(F.sum("weight").alias("weight"))
-             .join(present, F.col("source").eqNullSafe(F.col("_p"))).select("source", "weight", "_docs"))
+             .join(present, F.col("source").eqNullSafe(F.col("present"))).select("source", "weight", "docs"))
     # Both staged tables have at most `slots` rows (period() raises beyond that).
     turns = stage(quotas(named, slots), "turns")
     plan = stage(period(turns.select("source", "turns"), slots), "period")
-    order = plan.select(F.col("source").alias("_ps"), F.col("turn").alias("_turn"), F.col("slot").alias("_at"))
+    order = plan.select(F.col("source").alias("plan_source"), F.col("turn").alias("plan_turn"),
+                        F.col("slot").alias("plan_slot"))
     # The mix ends with the slot in which the last source has shown all its documents.
-    last = (turns.withColumn("_b", F.expr(f"(_docs - 1) div {block_rows}"))
-            .join(order, F.col("source").eqNullSafe(F.col("_ps")) & (F.expr("_b % turns") == F.col("_turn"))))
-    have = last.select(F.col("source").alias("_ts"), F.col("turns").alias("_turns"),
-                       F.max(F.expr(f"(_b div turns) * {slots} + _at + 1")).over(Window.partitionBy(F.lit(1)))
-                       .alias("_end"))
-    rows = ranked(docs, source_col, id_col)
-    rows = rows.join(F.broadcast(have), rows[source_col].eqNullSafe(F.col("_ts")))
-    length = F.expr(f"((_end + {slots - 1}) div {slots}) * _turns * {block_rows}")
-    again = F.when(F.col("_rank") < length, F.sequence(F.lit(0).cast("long"), F.expr("0L") + F.floor(
-        (length - 1 - F.col("_rank")) / F.col("_n"))))
-    rows = rows.withColumn("epoch", F.explode(again)).withColumn("_i", F.expr("epoch * _n + _rank"))
-    rows = rows.withColumn("source_block", F.expr(f"_i div {block_rows}"))
-    out = rows.join(F.broadcast(order), rows[source_col].eqNullSafe(F.col("_ps"))
-                    & (F.expr("source_block % _turns") == F.col("_turn")))
-    return (out.withColumn("slot", F.expr(f"(source_block div _turns) * {slots} + _at"))
-            .where("slot < _end")
-            .withColumn("position", F.expr(f"slot * {block_rows} + _i % {block_rows}"))
-            .select(*docs.columns, "source_block", "slot", "epoch", "position"))
+    last = (turns.withColumn("b", F.expr(f"(docs - 1) div {block_rows}"))
+            .join(order, F.col("source").eqNullSafe(F.col("plan_source")) & (F.expr("b % turns") == F.col("plan_turn"))))
+    have = last.select(F.col("source").alias("turns_source"), "turns",
+                       F.max(F.expr(f"(b div turns) * {slots} + plan_slot + 1")).over(Window.partitionBy(F.lit(1)))
+                       .alias("fin"))
+    placed = ranked(rows).join(F.broadcast(have), F.col("source").eqNullSafe(F.col("turns_source")))
+    length = f"((fin + {slots - 1}) div {slots}) * turns * {block_rows}"
+    placed = (placed.withColumn("epoch", F.expr(f"explode(if(rank < {length}, "
+                                                f"sequence(0L, ({length} - 1 - rank) div n), null))"))
+              .withColumn("i", F.expr("epoch * n + rank")).withColumn("source_block", F.expr(f"i div {block_rows}")))
+    placed = placed.join(F.broadcast(order), F.col("source").eqNullSafe(F.col("plan_source"))
+                         & (F.expr("source_block % turns") == F.col("plan_turn")))
+    placed = placed.withColumn("slot", F.expr(f"(source_block div turns) * {slots} + plan_slot")).where("slot < fin")
+    placed = placed.withColumn("position", F.expr(f"slot * {block_rows} + i % {block_rows}"))
+    new = [F.col(c).alias(fresh(c, docs.columns)) for c in ("source_block", "slot", "epoch", "position")]
+    return placed.select("row.*", *new)
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,11 +207,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     null id stay, as nothing names them.
     """
     found = near_duplicates(docs, id_col, text_col, words, max_bits, parts)
-    keep = found.where("id = component_id").select(F.col("id").alias("_keep")).distinct()
-    named = docs.join(keep, docs[id_col].cast("long") == F.col("_keep"), "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    once = named.withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    keep = found.where("id = component_id").select(F.col("id").alias("keep")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    first = Window.partitionBy("id").orderBy(F.col("t").asc_nulls_first())
+    once = (rows.join(keep, F.col("id") == F.col("keep"), "left_semi")
+            .withColumn("k", F.row_number().over(first)).where("k = 1"))
+    return once.select("row.*").union(docs.where(F.col(id_col).isNull()))
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
