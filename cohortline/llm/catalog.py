@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortline.llm.ctw import op2_ctw_score
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
 from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
@@ -12,6 +13,7 @@ from cohortline.llm.tokenfiles import op4_bitplane_tokens
 from cohortline.llm.toxicity import op5_mil_toxicity
 
 QUERIES = {
+    "op2_ctw_score": op2_ctw_score,
     "op3_pigeonhole_decontaminate": op3_pigeonhole_decontaminate,
     "op4_bitplane_tokens": op4_bitplane_tokens,
     "op5_mil_toxicity": op5_mil_toxicity,
