@@ -29,7 +29,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortline.llm.common import fresh
 
-#: Pages of the classifier's training sample (those with the lowest hash of their address).
+#: Pages of the classifier's training sample, about (those with a low hash of their address).
 TRAIN_PAGES = 2000
 #: Weight of the edge between neighbours with the same parent; less with more DOM steps between.
 NEIGHBOUR = 0.8
@@ -315,7 +315,7 @@ def label(found: list[Block], p: np.ndarray) -> list[bool]:
 
 
 def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample: int = TRAIN_PAGES) -> np.ndarray:
-    """Train the classifier on a bounded sample of ``sample`` pages."""
+    """Train the classifier on a bounded sample of about ``sample`` pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,8 +323,9 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample:
             flat = np.vstack(rows).astype("<f4").tobytes() if rows else b""
             yield pa.RecordBatch.from_arrays([pa.array([flat], pa.binary())], names=["x"])
 
+    share = int(1e6 * min(1.0, sample / max(pages.count(), 1)))
     some = (pages.select(F.col(html_col).cast("string").alias("h"), F.xxhash64(F.col(url_col)).alias("k"))
-            .orderBy("k", F.length("h")).limit(sample))
+            .where(F.pmod("k", F.lit(1_000_000)) < share))
     got = some.select("h").mapInArrow(run, "x binary").collect()
     x = np.frombuffer(b"".join(bytes(r.x) for r in got), "<f4").reshape(-1, len(FEATURES)).astype(float)
     return train(x)
