@@ -26,21 +26,19 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import stage
+from cohortline.llm.exchange import CHUNK_BYTES, dump, gather, load, pack, pieces, receive, reply, rows, send, texts_of
 
 #: Bytes of context (at most 7).
 DEPTH = 6
-#: Text bytes in a chunk, about; a longer document is a chunk of its own.
-CHUNK_BYTES = 14_000_000
 END = 0xFF  # never a byte of UTF-8; also stands before the start of a text
 LOW = 2     # contexts of this many bytes are the buckets' roots
 LN2, LN10, LNPI = log(2), log(10), log(np.pi)
@@ -196,83 +194,10 @@ def bucket_of(grams: np.ndarray, depth: int, buckets: int) -> np.ndarray:
     return ((root * np.uint64(40503)) >> np.uint64(5)) % np.uint64(buckets)
 
 
-def _squeeze(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def _open(blob: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(blob)
-
-
-def _pack_ints(x: np.ndarray) -> bytes:
-    """Whole numbers as byte planes, compressed."""
-    return _squeeze(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def _unpack_ints(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(_open(blob), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8").astype(np.uint64)
-
-
-def pack(docs: DataFrame, id_col: str, text_col: str, learn: Column, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``(chunk, ids, learn, sizes, raw)``: documents in chunks, each text as lower-cased (A-Z) UTF-8."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        first = TaskContext.get().partitionId() << 32
-        held: tuple[list, list, list] = ([], [], [])
-        size = count = 0
-
-        def out() -> pa.RecordBatch:
-            ids, learns, texts = held
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first + count], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([learns], pa.list_(pa.bool_())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-                 pa.array([_squeeze(b"".join(texts))], pa.binary())], names=["chunk", "ids", "learn", "sizes", "raw"])
-
-        for batch in batches:
-            for i, t, y in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                text = (t or "").encode().lower()
-                held[0].append(i)
-                held[1].append(bool(y))
-                held[2].append(text)
-                size += len(text) + 64
-                if size >= chunk_bytes:
-                    yield out()
-                    held, size, count = ([], [], []), 0, count + 1
-        if held[0]:
-            yield out()
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), learn.alias("y"))
-    return rows.mapInArrow(run, "chunk long, ids array<long>, learn array<boolean>, sizes array<long>, raw binary")
-
-
-def _texts(sizes: list[int], raw: bytes) -> list[bytes]:
-    raw, out, at = _open(raw), [], 0
-    for n in sizes:
-        out.append(raw[at:at + n])
-        at += n
-    return out
-
-
-def _pieces(texts: list[bytes], limit: int = 3_000_000) -> Iterator[list[int]]:
-    """Places of consecutive texts, about ``limit`` bytes at a time."""
-    held, size = [], 0
-    for i, t in enumerate(texts):
-        held.append(i)
-        size += len(t)
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def distinct_grams(texts: list[bytes], learn: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The chunk's distinct grams, sorted, and their counts in the texts to learn from."""
     parts = []
-    for places in _pieces(texts):
+    for places in pieces(texts):
         for y in (True, False):
             own = [texts[i] for i in places if learn[i] == y]
             if own:
@@ -302,135 +227,86 @@ def words_of(texts: list[bytes], learn: list[bool]) -> Counter:
     return counts
 
 
-GRAMS, WORDS = 0, 1
-_ASKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()),
-                    ("counts", pa.binary())])
+def requests(row: dict, depth: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """What a chunk asks each bucket: its distinct grams, and (in the buckets from
+    ``buckets`` up) its words, with their training counts."""
+    texts, learn = texts_of(row["sizes"], row["raw"]), row["flags"]
+    keys, counts = distinct_grams(texts, learn, depth)
+    where = bucket_of(keys, depth, buckets)
+    for b in np.unique(where):
+        own = where == b
+        yield int(b), dump(np.diff(keys[own], prepend=np.uint64(0)), counts[own].astype(np.int64))
+    words = words_of(texts, learn)
+    split: dict[int, list[bytes]] = {}
+    for w in words:
+        split.setdefault(word_bucket(w, buckets), []).append(w)
+    for b, own in split.items():
+        yield buckets + b, dump(b"\n".join(own), np.array([words[w] for w in own], np.int64))
 
 
-def asked(chunks: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """What each chunk asks of each bucket: its distinct grams and words, with training counts."""
+def merge(bucket: int, bodies: list[bytes], buckets: int) -> bytes:
+    """Summed counts of a bucket's grams or words."""
+    got = [load(b) for b in bodies]
+    if bucket < buckets:
+        u, n = merged(np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in got]), np.concatenate([n for _, n in got]))
+        return dump(np.diff(u, prepend=np.uint64(0)), n)
+    total: Counter = Counter()
+    for words, n in got:
+        for w, c in zip(words.split(b"\n"), n.tolist()):
+            total[w] += c
+    return dump(b"\n".join(total), np.fromiter(total.values(), np.int64, len(total)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                texts, learn, chunk = _texts(row["sizes"], row["raw"]), row["learn"], row["chunk"]
-                keys, counts = distinct_grams(texts, learn, depth)
-                where = bucket_of(keys, depth, buckets)
-                for b in np.unique(where):
-                    own = where == b
-                    delta = np.diff(keys[own], prepend=np.uint64(0))
-                    yield pa.RecordBatch.from_pylist(
-                        [{"kind": GRAMS, "bucket": int(b), "chunk": chunk, "keys": _pack_ints(delta),
-                          "counts": _pack_ints(counts[own])}], schema=_ASKED)
-                split: dict[int, list[bytes]] = {}
-                words = words_of(texts, learn)
-                for w in words:
-                    split.setdefault(word_bucket(w, buckets), []).append(w)
-                for b, own in split.items():
-                    yield pa.RecordBatch.from_pylist(
-                        [{"kind": WORDS, "bucket": b, "chunk": chunk, "keys": _squeeze(b"\n".join(own)),
-                          "counts": _pack_ints(np.array([words[w] for w in own]))}], schema=_ASKED)
-
-    return chunks.mapInArrow(run, "kind int, bucket int, chunk long, keys binary, counts binary")
-
-
-_GATHERED = "kind int, bucket int, chunks array<long>, keys array<binary>, counts binary, roots binary, tokens long, types long"
-
-
-def _groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Rows of one key at a time, from batches sorted by it."""
-    at, held = None, []
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
-            now = tuple(row[c] for c in key)
-            if now != at and held:
-                yield at, held
-                held = []
-            at = now
-            held.append(row)
-    if held:
-        yield at, held
-
-
-def gather(requests: DataFrame, depth: int) -> DataFrame:
-    """One row per bucket: merged training counts, the chunks' requests, and
-    for grams the roots of the bucket's tree (as ``Level`` arrays)."""
+
+def training_grams(body: bytes, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A bucket's grams that training texts have, at every depth."""
+    delta, n = load(body)
+    seen = n > 0
+    return depths(np.cumsum(delta, dtype=np.uint64)[seen], n[seen].astype(np.float64), depth, LOW)
+
+
+def roots(model: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """``(roots, tokens, types)`` per bucket: the roots of a gram bucket's tree, or
+    the sums of a word bucket's counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (kind, bucket), rows in _groups(batches, ("kind", "bucket")):
-            tokens = types = 0
-            roots = b""
-            if kind == GRAMS:
-                keys = [np.cumsum(_unpack_ints(r["keys"]), dtype=np.uint64) for r in rows]
-                u, n = merged(np.concatenate(keys), np.concatenate([_unpack_ints(r["counts"]) for r in rows]))
-                counts, seen = _pack_ints(n), n > 0
-                by_depth = depths(u[seen], n[seen].astype(np.float64), depth, LOW)
+        for row in rows(batches):
+            blob, tokens, types = b"", 0, 0
+            if row["bucket"] < buckets:
+                by_depth = training_grams(row["body"], depth)
                 tops = [levels(by_depth, k)[-1] for k in range(8)]
-                roots = _squeeze(b"".join(x for t in tops for x in (
-                    np.array([len(t.key)], "<i8").tobytes(), t.key.astype("<u8").tobytes(), t.n0.astype("<f8").tobytes(),
-                    t.n1.astype("<f8").tobytes(), t.log_w.astype("<f8").tobytes())))
+                blob = dump(*(x for t in tops for x in (t.key, t.n0, t.n1, t.log_w)))
             else:
-                total: Counter = Counter()
-                for r in rows:
-                    for w, c in zip(_open(r["keys"]).split(b"\n"), _unpack_ints(r["counts"]).tolist()):
-                        total[w] += c
-                tokens, types = sum(total.values()), sum(c > 0 for c in total.values())
-                counts = _squeeze(b"\n".join(b"%b\t%d" % (w, c) for w, c in total.items() if c))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()),
-                 pa.array([[r["chunk"] for r in rows]], pa.list_(pa.int64())),
-                 pa.array([[r["keys"] for r in rows]], pa.list_(pa.binary())), pa.array([counts], pa.binary()),
-                 pa.array([roots], pa.binary()), pa.array([tokens], pa.int64()), pa.array([types], pa.int64())],
-                names=["kind", "bucket", "chunks", "keys", "counts", "roots", "tokens", "types"])
-
-    return (requests.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(run, _GATHERED))
+                n = load(row["body"])[1]
+                tokens, types = int(n.sum()), int(np.count_nonzero(n))
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary()), pa.array([tokens], pa.int64()),
+                                              pa.array([types], pa.int64())], names=["roots", "tokens", "types"])
+
+    return model.mapInArrow(run, "roots binary, tokens long, types long")
 
 
 def read_roots(blobs: list[bytes]) -> list[tuple[np.ndarray, ...]]:
     """Per decision the concatenated (key, n0, n1, log_w) of all buckets."""
-    parts: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(8)]
-    for blob in blobs:
-        raw, at = _open(blob), 0
-        for k in range(8):
-            n = int(np.frombuffer(raw, "<i8", 1, at)[0])
-            arrays = []
-            for j, kind in enumerate(("<u8", "<f8", "<f8", "<f8")):
-                arrays.append(np.frombuffer(raw, kind, n, at + 8 + 8 * n * j))
-            at += 8 + 32 * n
-            parts[k].append(tuple(arrays))
     empty = (np.empty(0, np.uint64), *(np.empty(0) for _ in range(3)))
-    return [tuple(np.concatenate(x) for x in zip(empty, *p)) for p in parts]
+    got = [load(b) for b in blobs]
+    return [tuple(np.concatenate(x) for x in zip(empty, *(g[4 * k:4 * k + 4] for g in got))) for k in range(8)]
 
 
-def answers(gathered: DataFrame, depth: int, top: Top) -> DataFrame:
-    """``(chunk, kind, bucket, blob)``: what each chunk asked, in its order: log10
-    probabilities of grams, training counts of words."""
+def answer(bucket: int, body: bytes, depth: int, buckets: int, top: Top) -> Callable[[list[bytes]], list[bytes]]:
+    """A function from requests to log10 probabilities (grams) or training counts (words)."""
+    if bucket < buckets:
+        by_depth = training_grams(body, depth)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                if row["kind"] == GRAMS:
-                    keys = [np.cumsum(_unpack_ints(b), dtype=np.uint64) for b in row["keys"]]
-                    u = np.unique(np.concatenate(keys))
-                    n = _unpack_ints(row["counts"])
-                    seen = n > 0
-                    by_depth = depths(u[seen], n[seen].astype(np.float64), depth, LOW)
-                    p = np.concatenate([log10_probability(u[a:a + 200_000], by_depth, top)
-                                        for a in range(0, len(u), 200_000)]).astype("<f4")
-                    out = [_squeeze(np.ascontiguousarray(p[np.searchsorted(u, x)].view(np.uint8).reshape(-1, 4).T).tobytes())
-                           for x in keys]
-                else:
-                    total = {w: int(c) for w, _, c in (x.rpartition(b"\t") for x in _open(row["counts"]).split(b"\n") if x)}
-                    out = [_pack_ints(np.array([total.get(w, 0) for w in _open(b).split(b"\n")])) for b in row["keys"]]
-                for chunk, blob in zip(row["chunks"], out):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([chunk], pa.int64()), pa.array([row["kind"]], pa.int32()),
-                         pa.array([row["bucket"]], pa.int32()), pa.array([blob], pa.binary())],
-                        names=["chunk", "kind", "bucket", "blob"])
-
-    return gathered.mapInArrow(run, "chunk long, kind int, bucket int, blob binary")
+        def grams(bodies: list[bytes]) -> list[bytes]:
+            keys = [np.cumsum(load(b)[0], dtype=np.uint64) for b in bodies]
+            u = np.unique(np.concatenate(keys))
+            p = np.concatenate([log10_probability(u[a:a + 200_000], by_depth, top) for a in range(0, len(u), 200_000)])
+            p = p.astype("<f4")
+            return [dump(p[np.searchsorted(u, k)]) for k in keys]
+
+        return grams
+    words, n = load(body)
+    total = dict(zip(words.split(b"\n"), n.tolist()))
+    return lambda bodies: [dump(np.array([total[w] for w in load(b)[0].split(b"\n")], np.int64)) for b in bodies]
 
 
 class Lookup:
@@ -454,18 +330,17 @@ class Lookup:
         return at
 
 
-def score_chunk(texts: list[bytes], learn: list[bool], found: dict[tuple[int, int], bytes], depth: int, buckets: int
+def score_chunk(texts: list[bytes], learn: list[bool], found: dict[int, bytes], depth: int, buckets: int
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(log10 probability, words, known words, sum of log10(c + 1/2)) per text."""
     keys, counts = distinct_grams(texts, learn, depth)
     where = bucket_of(keys, depth, buckets)
     p = np.zeros(len(keys))
     for b in np.unique(where):
-        p[where == b] = np.ascontiguousarray(
-            np.frombuffer(_open(found[GRAMS, int(b)]), np.uint8).reshape(4, -1).T).reshape(-1).view("<f4")
+        p[where == b] = load(found[int(b)])[0]
     lookup = Lookup(keys, counts)
     score = np.zeros(len(texts))
-    for places in _pieces(texts):
+    for places in pieces(texts):
         own = [texts[i] for i in places]
         values = p[lookup(grams_of(own, depth))]
         size = np.fromiter(map(len, own), np.int64, len(own)) + 1
@@ -475,7 +350,7 @@ def score_chunk(texts: list[bytes], learn: list[bool], found: dict[tuple[int, in
     for w in words_of(texts, learn):
         split.setdefault(word_bucket(w, buckets), []).append(w)
     for b, own in split.items():
-        known.update(zip(own, _unpack_ints(found[WORDS, b]).tolist()))
+        known.update(zip(own, load(found[buckets + b])[0].tolist()))
     n, hits, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for i, t in enumerate(texts):
         c = np.fromiter(map(known.__getitem__, w := t.split()), np.float64, len(w))
@@ -493,36 +368,32 @@ def language_model(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_
     never merged, repeated or null ids included; other columns are ignored. Without a row to
     learn from, every bit has probability 1/2 and ``train_tokens`` is 0.
     """
-    chunks = stage(pack(docs, id_col, text_col, learn, chunk_bytes), "chunks")
-    buckets = max(64, chunks.count())
-    gathered = stage(gather(asked(chunks, depth, buckets), depth), "gathered")
-    # At most 2^16 contexts with 255 nodes each, whatever the corpus.
-    top = Top(read_roots([bytes(r.roots) for r in gathered.where(f"kind = {GRAMS}").select("roots").collect()]))
-    words = gathered.agg(F.sum("tokens"), F.sum("types")).first()
-    learned = chunks.select(F.sum(F.size(F.filter("learn", lambda x: x)))).first()[0] or 0
-    total, types = (words[0] or 0) + learned, (words[1] or 0) + (learned > 0)
+    chunks = stage(pack(docs, id_col, text_col, learn, True, chunk_bytes), "chunks")
+    count = chunks.count()
+    buckets = min(4096, max(64, count))
+    sent = send(chunks, lambda row: requests(row, depth, buckets), "requests")
+    model = gather(sent, lambda bucket, bodies: merge(bucket, bodies, buckets), count, "counts")
+    # The roots are at most 2^16 contexts with 255 nodes each, whatever the corpus.
+    got = roots(model, depth, buckets).collect()
+    top = Top(read_roots([bytes(r.roots) for r in got if r.roots]))
+    learned = chunks.select(F.sum(F.size(F.filter("flags", lambda x: x)))).first()[0] or 0
+    total, types = sum(r.tokens for r in got) + learned, sum(r.types for r in got) + (learned > 0)
     scale = float(np.log10(total + 0.5 * (types + 1)))
     end = float(np.log10(learned + 0.5))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, ("chunk",)):
-            whole = next(r for r in rows if r["kind"] < 0)
-            found = {(r["kind"], r["bucket"]): r["blob"] for r in rows if r["kind"] >= 0}
-            texts = _texts(whole["sizes"], whole["blob"])
-            score, n, known, base = score_chunk(texts, whole["learn"], found, depth, buckets)
-            n += 1
-            known += learned > 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(whole["ids"], pa.int64()), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(n),
-                 pa.array(known), pa.array(np.full(len(n), total)), pa.array(base + end - n * scale), pa.array(score)],
-                names=["id", "n_symbols", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    payload = chunks.select("chunk", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), F.col("raw").alias("blob"),
-                            "ids", "learn", "sizes")
-    both = payload.unionByName(answers(gathered, depth, top), allowMissingColumns=True)
-    return (both.repartition("chunk").sortWithinPartitions("chunk", "kind")
-            .mapInArrow(run, "id long, n_symbols long, n_tokens long, n_known long, train_tokens long, "
-                             "base_score double, score double"))
+    def scored(row: dict, found: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        texts = texts_of(row["sizes"], row["raw"])
+        score, n, known, base = score_chunk(texts, row["flags"], found, depth, buckets)
+        n += 1
+        known += learned > 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row["ids"], pa.int64()), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(n),
+             pa.array(known), pa.array(np.full(len(n), total)), pa.array(base + end - n * scale), pa.array(score)],
+            names=["id", "n_symbols", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    replies = reply(model, sent, lambda bucket, body: answer(bucket, body, depth, buckets, top), count)
+    return receive(chunks, replies, scored, "id long, n_symbols long, n_tokens long, n_known long, "
+                                            "train_tokens long, base_score double, score double")
 
 
 def op2_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
