@@ -7,6 +7,7 @@ result with it.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -53,6 +54,16 @@ def drop_stage(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that are used up, and let the driver forget the
+    shuffles behind them, so that their files go now and not at the next
+    collection of garbage."""
+    for table in tables:
+        drop_stage(table)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
 def utf8(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each value of a string array; null is empty."""
     for value in column.cast(pa.large_binary()):
