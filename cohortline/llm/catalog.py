@@ -8,11 +8,13 @@ from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.quality import op9_cotrain_quality
+from cohortline.llm.repeats import op1_runlength_repeats
 from cohortline.llm.simhash import op7_simhash
 from cohortline.llm.tokenfiles import op4_bitplane_tokens
 from cohortline.llm.toxicity import op5_mil_toxicity
 
 QUERIES = {
+    "op1_runlength_repeats": op1_runlength_repeats,
     "op2_ctw_score": op2_ctw_score,
     "op3_pigeonhole_decontaminate": op3_pigeonhole_decontaminate,
     "op4_bitplane_tokens": op4_bitplane_tokens,
