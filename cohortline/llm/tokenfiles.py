@@ -44,8 +44,8 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks remembered per Python worker; beyond it the memory starts anew.
-CACHE_WORDS = 600_000
+#: Chunks remembered in a task; beyond it the memory starts anew.
+CACHE_WORDS = 400_000
 LEVEL = 3
 
 
@@ -206,9 +206,10 @@ class WordEncoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {ord(c): spell(c)[0][0] for c in _LETTERS}
         self.end_id, self.limit = end_id, limit
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        """Start with an empty memory."""
         self.known = _Numbers()
         self.words: dict[str, list[int]] = {}
         self.flat = np.array([self.end_id], np.uint32)
@@ -247,7 +248,7 @@ class WordEncoder:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per text, all tokens); every text ends with the end id."""
         if len(self.known) > self.limit:
-            self._clear()
+            self.forget()
         chunks = [c for t in texts
                   for c in (*t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "), END)]
         at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
@@ -262,7 +263,7 @@ class WordEncoder:
 
 @cache
 def encoder(path: str, end_id: int) -> WordEncoder:
-    """One encoder per Python worker; what it remembers serves later tasks."""
+    """One tokenizer per Python worker; what it remembers lasts for a task."""
     return WordEncoder(path, end_id)
 
 
@@ -302,6 +303,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                 writer.add(ids[at:at + 256], sizes, tokens)
         if writer is not None:
             writer.close()
+            encode.forget()
             yield pa.RecordBatch.from_pylist([{"shard": TaskContext.get().partitionId(), "uri": uri,
                                                "n_docs": len(writer.docs), "n_ids": writer.n_ids}], schema=arrow)
 
