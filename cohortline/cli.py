@@ -8,8 +8,8 @@ policies=ins.policies,callcentre_car=ins.cc_car,callcentre_home=ins.cc_home,cale
 Sub-commands: ``backfill`` (create or replace the policy-orders table over
 ``--start``..``--end``), ``daily`` (reload the trailing 8 days),
 ``dashboard`` (create or replace the retention pivot in ``--out-table``),
-``report NAME`` (any report: written to ``--out-table``, or printed in key
-order when it is an aggregate). The session is the one ``spark-submit``
+``report NAME`` (any report: written to ``--out-table``, or its first rows
+printed in key order when it is an aggregate). The session is the one ``spark-submit``
 provides; its settings are kept.
 """
 
@@ -32,12 +32,31 @@ INPUT_NAMES = ("hits", "marketing_channel", "visits", "policies", "callcentre_ca
                "callcentre_home", "calendar")
 
 
+# Rows of a report that are printed; a longer one goes to a table.
+PRINT_ROWS = 1000
+
+
 def _tables(spec: str) -> dict[str, str]:
     pairs = dict(item.split("=", 1) for item in spec.split(",") if item)
     missing = [n for n in INPUT_NAMES if n not in pairs]
     if missing:
         raise SystemExit(f"--tables is missing {', '.join(missing)}")
-    return {n: pairs[n] for n in INPUT_NAMES}
+    unknown = [n for n in pairs if n not in (*INPUT_NAMES, "hits_day_column")]
+    if unknown:
+        raise SystemExit(f"--tables does not know {', '.join(unknown)}")
+    return pairs
+
+
+def _columns(spec: str) -> dict[str, dict[str, str]]:
+    """``table.column=name`` items as ``{table: {column: name}}``."""
+    out: dict[str, dict[str, str]] = {}
+    for item in filter(None, spec.split(",")):
+        where, _, name = item.partition("=")
+        table, _, column = where.partition(".")
+        if table not in INPUT_NAMES or not column or not name:
+            raise SystemExit(f"--columns: {item!r} is not table.column=name")
+        out.setdefault(table, {})[column] = name
+    return out
 
 
 # report name -> (builder, window kind, needs the stored policy orders, group keys)
@@ -84,15 +103,22 @@ def _report(spark, inputs, args) -> None:
     elif keys is None:
         raise SystemExit(f"{args.name} is row-level: give --out-table")
     else:
-        ordered = jobs.present(df, keys)
-        ordered.show(n=max(ordered.count(), 1), truncate=False)  # the whole (aggregated) report
+        rows = jobs.present(df, keys).limit(PRINT_ROWS + 1).collect()
+        print("\t".join(df.columns))
+        for row in rows[:PRINT_ROWS]:
+            print("\t".join("" if v is None else str(v) for v in row))
+        if len(rows) > PRINT_ROWS:
+            print(f"only the first {PRINT_ROWS} rows are printed; give --out-table for all")
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cohortline")
     ap.add_argument("command", choices=("backfill", "daily", "dashboard", "report"))
     ap.add_argument("name", nargs="?", help="report name for the report command")
-    ap.add_argument("--tables", required=True, help="input=table pairs, comma separated")
+    ap.add_argument("--tables", required=True, help="input=table pairs, comma separated; hits_day_column=NAME "
+                                                       "names the hits' day partition, so windows read only their days")
+    ap.add_argument("--columns", default="", help="table.column=name pairs for columns with other names, "
+                                                  "comma separated")
     ap.add_argument("--orders-table", help="stored policy orders (backfill, daily, dashboard, "
                                              "retention_monthly)")
     ap.add_argument("--out-table", help="output table (dashboard, report)")
@@ -102,7 +128,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = configure(SparkSession.builder.getOrCreate())
-    inputs = catalog_inputs(spark, **_tables(args.tables))
+    inputs = catalog_inputs(spark, **_tables(args.tables), columns=_columns(args.columns))
     if args.command == "report":
         _report(spark, inputs, args)
         return 0

@@ -14,10 +14,9 @@ from cohortline.functions.memo import column_memo
 WEB_PREFIXES: Mapping[str, str] = {"car": "MOT", "home": "HOM"}
 
 # Policy-master products whose identifier carries a 3-letter
-# prefix, and the length kept after it.
+# prefix.
 PREFIXED_PRODUCTS = ("CAR", "HOME")
 PREFIX_LEN = 3
-BARE_ID_MAX_LEN = 100
 
 
 def _c(c: Column | str) -> Column:
@@ -39,8 +38,8 @@ def prefixed_policy_id(product: Column | str, policy_id: Column | str,
 
 @column_memo
 def strip_prefix(policy_id: Column | str) -> Column:
-    """Drop the 3-letter prefix (``substr(id, 4, 100)``)."""
-    return F.substring(_c(policy_id), PREFIX_LEN + 1, BARE_ID_MAX_LEN)
+    """Drop the 3-letter prefix; the rest of the id is kept whole."""
+    return F.substr(_c(policy_id), F.lit(PREFIX_LEN + 1))
 
 
 @column_memo

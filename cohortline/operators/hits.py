@@ -13,8 +13,6 @@ from cohortline.functions.channels import INSURANCE_RULES, Rule, channel_label,
 from cohortline.functions.dates import day_between
 from cohortline.functions.keys import visit_id, visitor_id
 from cohortline.functions.urls import url_host
-from cohortline.operators.broadcast import fits
-from cohortline.session import checkpoint_dir
 from cohortline.sources.adapters import PAGE_CAR, PAGE_HOME, PAGE_TRAVEL
 from cohortline.sources.schemas import HIT_DAY
 
@@ -28,12 +26,6 @@ CLOSER_ID_TYPE = "decimal(38,9)"
 # Prefix of the stand-in keys given to null join keys (see ``with_visit``).
 NULL_KEY_PREFIX = "\u0000"
 
-# Semi-join reduction of the visit table (see ``with_visit``): at most this
-# many distinct hit visit keys are broadcast, and "auto" engages it when the
-# visit input spans at least this many files.
-REDUCE_MAX_KEYS = 1_000_000
-REDUCE_MIN_FILES = 64
-
 
 def purchase_hits(hits: DataFrame, lo: dt.date, hi: dt.date,
                   pages: Sequence[str] = PURCHASE_PAGES) -> DataFrame:
@@ -56,9 +48,9 @@ def with_default_channel(hits: DataFrame, channel_dim: DataFrame,
     """Left-join the channel dimension on the numeric closer id.
 
     ``try_cast`` makes a non-numeric closer id a miss (null channel) instead
-    of failing the job under ANSI mode. Pass the dimension through
-    ``bounded_broadcast`` (``Inputs.channel_dim``) so the join never
-    shuffles the hits.
+    of failing the job under ANSI mode. The planner broadcasts the dimension
+    while its size is below ``spark.sql.autoBroadcastJoinThreshold`` and
+    shuffles beyond it.
     """
     dim = channel_dim.select(F.col("channel_id").alias("__ch_id"),
                              F.col("channel_name").alias(out))
@@ -66,16 +58,27 @@ def with_default_channel(hits: DataFrame, channel_dim: DataFrame,
     return hits.join(dim, key == F.col("__ch_id"), "left").drop("__ch_id")
 
 
+def first_visit(visits: DataFrame) -> DataFrame:
+    """One row per visit id: the earliest ``start_time`` (nulls first), ties by
+    OS name, device and OS type, so the choice never depends on the input's order.
+
+    A minimum of a struct: partially aggregated before the shuffle, so a visit
+    id with very many rows costs one row per map task.
+    """
+    row = F.struct("start_time", "os_name", "device", "mobile_device_type")
+    return (visits.groupBy("visit_id").agg(F.min(row).alias("__v"))
+            .select("visit_id", "__v.device", "__v.mobile_device_type", "__v.os_name", "__v.start_time"))
+
+
 def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high",
                low: str = "post_visid_low", visit_num: str = "visit_num",
-               visitor: str | None = None, spread_nulls_by: Sequence[str] = (),
-               reduce_visits: bool | None = None,
-               reduce_max_keys: int = REDUCE_MAX_KEYS) -> DataFrame:
+               visitor: str | None = None, spread_nulls_by: Sequence[str] = ()) -> DataFrame:
     """Left-join the visit dimension on ``visitor_id || '_' || visit_num``.
 
     Adds ``device_type``, ``os_type``, ``os_version`` and ``start_time``. A
-    visit id with several rows fans the hit out; ``first_hit`` collapses it
-    afterwards. Both sides can be large, so this is a shuffled join; AQE
+    visit id with several rows fans the hit out; where only the earliest row
+    matters, pass ``first_visit(visits)``. Both sides can be large, so this is
+    a shuffled join (the reduced visits already have its partitioning); AQE
     splits a skewed visit key on the hit side.
 
     A hit without a visitor id can never match, but a null join key still
@@ -84,16 +87,6 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
     a hash of the given columns) so those hits spread over all reducers; the
     join condition excludes stand-in keys from matching, so they still miss
     and the result is unchanged.
-
-    Semi-join reduction: the visit table holds every visit, while a report
-    enriches only its purchase hits. When ``reduce_visits`` is on and the
-    hits' distinct visit keys pass a size check (``reduce_max_keys``), the
-    keys are broadcast and the visits are semi-joined to them before the
-    shuffle, so only matching visits move. ``None`` (auto) turns it on when
-    the visit input spans many files; beyond the bound the plain shuffled
-    join is used. The hit side is then checkpointed once to the shared
-    ``spark.checkpoint.dir`` (purchase hits are a small share of all hits),
-    so the key check and the join read it instead of scanning the hits twice.
     """
     vis = visitor_id(high, low) if visitor is None else F.col(visitor)
     key = visit_id(vis, visit_num)
@@ -104,14 +97,6 @@ def with_visit(df: DataFrame, visits: DataFrame, *, high: str = "post_visid_high
         F.col("os_name").alias("os_version"),
         F.col("start_time"),
     )
-    if reduce_visits is None:
-        reduce_visits = len(visits.inputFiles()) >= REDUCE_MIN_FILES
-    if reduce_visits:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        keys = df.select(key.alias("__hit_visit_id")).where(F.col("__hit_visit_id").isNotNull()).distinct()
-        if fits(keys, reduce_max_keys):
-            v = v.join(F.broadcast(keys), F.col("__visit_id") == F.col("__hit_visit_id"), "left_semi")
     if not spread_nulls_by:
         return df.join(v, key == F.col("__visit_id"), "left").drop("__visit_id")
     spread = F.concat(F.lit(NULL_KEY_PREFIX), F.xxhash64(*spread_nulls_by).cast("string"))

@@ -9,10 +9,13 @@ Both keep rows whose day is null (a range delete never matches them).
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.operators.dedup import first_hit
 from cohortline.session import checkpoint_dir
 
 
@@ -32,48 +35,126 @@ def replace_window(target: DataFrame, new: DataFrame, day_col: str,
     return target.where(keep).unionByName(new)
 
 
-def _days(lo: dt.date, hi: dt.date) -> list[dt.date]:
-    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+def dedup_target(target: DataFrame, keys: list[str], day_col: str, tiebreak: list[str]) -> DataFrame:
+    """One row per key of a table that windows were loaded into: the earliest
+    by ``day_col``, ties by ``tiebreak``.
+
+    A window load inserts a key again when it is seen in a later window; this
+    is the view of the table in which each key counts once.
+    """
+    return first_hit(target, keys, [day_col], tiebreak)
+
+
+# --- stored tables -------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _staged_runs(spark: SparkSession, folder: str) -> list[str]:
+    """Finished stages of a table that were not applied to the end, oldest first."""
+    fs, path = _fs(spark, folder)
+    if not fs.exists(path):
+        return []
+    found = [str(s.getPath().toString()) for s in fs.listStatus(path)]
+    return sorted(f for f in found if fs.exists(_fs(spark, f"{f}/window")[1]))
+
+
+def _stage_run(new: DataFrame, folder: str, day_col: str, lo: dt.date, hi: dt.date, partition_col: str) -> str:
+    """Write the new rows and then, as the mark of a complete stage, the window."""
+    spark = new.sparkSession
+    run = f"{folder}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    rows = new.where(in_window(day_col, lo, hi)).withColumn(partition_col, F.to_date(F.col(day_col)))
+    rows.write.parquet(f"{run}/rows")
+    spark.createDataFrame([(lo, hi)], "lo date, hi date").coalesce(1).write.parquet(f"{run}/window.tmp")
+    _finish(spark, f"{run}/window")
+    return run
+
+
+def _overwrite_days(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    """Replace the days that ``rows`` has, each partition as a whole."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, None)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.unset(mode) if before is None else spark.conf.set(mode, before)
+
+
+def _is_partitioned(spark: SparkSession, table: str, partition_col: str) -> bool:
+    return any(c.name == partition_col and c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Give a written folder its final name."""
+    fs, temporary = _fs(spark, f"{path}.tmp")
+    fs.rename(temporary, _fs(spark, path)[1])
+
+
+def _rewrite(spark: SparkSession, run: str, table: str, day_col: str, lo: dt.date, hi: dt.date) -> None:
+    """A table without day partitions is written anew from a complete copy in the
+    stage; a rewrite that failed halfway is repeated from that copy."""
+    fs, copy = _fs(spark, f"{run}/table")
+    if not fs.exists(copy):
+        now = spark.table(table)
+        rows = spark.read.parquet(f"{run}/rows").select(*now.columns)
+        replace_window(now, rows, day_col, lo, hi).write.mode("overwrite").parquet(f"{run}/table.tmp")
+        _finish(spark, f"{run}/table")
+    spark.read.parquet(f"{run}/table").write.insertInto(table, overwrite=True)
+
+
+def _apply_run(spark: SparkSession, run: str, table: str, day_col: str, partition_col: str) -> None:
+    """Bring a stage into the table; doing it again changes nothing.
+
+    Days with new rows are overwritten first, days without any are dropped
+    last, and only then the stage goes. A failure at any point leaves the
+    stage behind, and the next load repeats it before its own window.
+    """
+    lo, hi = spark.read.parquet(f"{run}/window").first()
+    fs, path = _fs(spark, run)
+    if not _is_partitioned(spark, table, partition_col):
+        _rewrite(spark, run, table, day_col, lo, hi)
+        fs.delete(path, True)
+        return
+    staged = spark.read.parquet(f"{run}/rows")
+    _overwrite_days(spark, staged.select(*spark.table(table).columns).hint("rebalance", partition_col), table)
+    filled = {r[0] for r in staged.select(partition_col).distinct().collect()}  # at most the window's days
+    for day in (lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)):
+        if day not in filled:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = DATE'{day}')")
+    fs.delete(path, True)
 
 
 def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt.date,
                    partition_col: str = "hit_day") -> str:
     """Replace days ``[lo, hi]`` of ``table`` with ``new``; returns ``table``.
 
-    Steps: (1) stage the new rows in the shared checkpoint folder, so the
-    expensive computation finishes (and survives lost executors) before the
-    target is touched; (2) drop each day partition of the window (days with
-    no new rows are cleared too, which a dynamic partition overwrite would
-    not do); (3) append the staged rows. Rows with a null day live in the
-    default partition and are never dropped. Each table has one staging
-    folder, overwritten by the next run, so nothing accumulates; a rerun
-    after a failure recomputes and converges to the same table.
-
-    A target that is not partitioned by ``partition_col`` is rewritten
-    whole instead: the replaced rows are staged first, then the table is
-    overwritten from the staged copy.
+    The new rows are first staged in a folder of this run in the shared
+    checkpoint folder, so the expensive computation is over before the table is
+    touched. Then each day with new rows is overwritten as one partition, and
+    days without new rows are dropped. Readers never see a window without its
+    rows. A run that fails on the way leaves its stage, and the next load of the
+    table, whatever its window, applies that first: no day is lost. Rows with
+    a null day live in the default partition and are never touched; rows of
+    ``new`` outside the window are not loaded.
+
+    A table without day partitions is rewritten whole, from a complete copy that
+    is staged first. A missing table is created with day partitions.
     """
     spark: SparkSession = new.sparkSession
-    stage = f"{checkpoint_dir(spark)}/staging/{table}"
+    folder = f"{checkpoint_dir(spark)}/staging/{table}"
     exists = spark.catalog.tableExists(table)
-    partitioned = exists and any(
-        c.name == partition_col and c.isPartition for c in spark.catalog.listColumns(table))
-    if exists and not partitioned:
-        # Not partitioned by day: stage the whole replaced table, then
-        # overwrite it from the staged copy (a table cannot be overwritten
-        # while it is being read).
-        replace_window(spark.table(table), new, day_col, lo, hi).write.mode("overwrite").parquet(stage)
-        spark.read.parquet(stage).write.mode("overwrite").insertInto(table, overwrite=True)
-        return table
-    rows = new.withColumn(partition_col, F.to_date(F.col(day_col)))
-    rows.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    if exists:
+        for run in _staged_runs(spark, folder):
+            _apply_run(spark, run, table, day_col, partition_col)
+    run = _stage_run(new, folder, day_col, lo, hi, partition_col)
     if not exists:
-        staged.write.partitionBy(partition_col).format("parquet").saveAsTable(table)
-        return table
-    for day in _days(lo, hi):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = DATE'{day}')")
-    staged.select(*spark.table(table).columns).write.insertInto(table)
+        (spark.read.parquet(f"{run}/rows").hint("rebalance", partition_col)
+         .write.partitionBy(partition_col).format("parquet").saveAsTable(table))
+    _apply_run(spark, run, table, day_col, partition_col)
     return table
 
 

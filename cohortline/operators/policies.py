@@ -65,8 +65,8 @@ def with_fiscal_week(df: DataFrame, calendar_dim: DataFrame, day_col: str,
     """Inner-join calendar days in ``[lo, hi]`` on ``day_col``.
 
     Keeps only rows whose day is a calendar day of the window; adds the
-    fiscal week start as ``week_col`` when given. ``calendar_dim`` should be
-    the size-checked broadcast form (``Inputs.calendar_dim``).
+    fiscal week start as ``week_col`` when given. The planner broadcasts the
+    calendar below its size threshold.
     """
     cal = calendar_dim.where(F.col("calendar_day").between(F.lit(lo), F.lit(hi)))
     cols = [F.col("calendar_day").alias("__cal_day")]

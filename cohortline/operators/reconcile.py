@@ -34,8 +34,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.operators.broadcast import bounded_broadcast
-
 RECONCILE_COLUMNS = (
     "bq_sales", "bq_nonhub_sales", "bq_hub_sales", "grs_sales", "both_sales",
     "nonhub_both_sales", "bq_only_sales", "bq_nonhub_only_sales", "grs_only_sales",
@@ -44,16 +42,15 @@ RECONCILE_COLUMNS = (
 
 def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
               on: Sequence[str] = ("pid", "product"), member_on: str = "pid",
-              group: str = "product", members_broadcast_rows: int | None = 1_000_000,
-              left_distinct: bool = False) -> DataFrame:
+              group: str = "product", left_distinct: bool = False) -> DataFrame:
     """Counts of left (``bq``) and right (``grs``) rows by presence on the
     other side and by membership (``hub``) of the left row's key.
 
     ``group`` must be one of ``on``; the group value is taken from whichever
     side is present. The membership counts (one row per listed key) are
-    broadcast when they pass a size check of ``members_broadcast_rows``
-    rows, which keeps the left side in its ``on`` partitioning for the
-    outer join; a longer list is joined with a shuffle instead.
+    joined as the planner decides: adaptive execution broadcasts them when
+    their measured size allows, which keeps the left side in its ``on``
+    partitioning for the outer join, and shuffles a longer list.
 
     ``left_distinct`` declares that ``left`` has one row per ``on`` key (for
     example the output of ``distinct()``); each key then counts once and the
@@ -64,8 +61,6 @@ def reconcile(left: DataFrame, right: DataFrame, members: DataFrame,
     if group not in on or member_on not in on:
         raise ValueError("group and member_on must be join keys")
     m = members.groupBy(member_on).agg(F.count(F.lit(1)).alias("__n_c"))
-    if members_broadcast_rows:
-        m = bounded_broadcast(m, members_broadcast_rows)
     n_l, n_c = F.col("__n_l"), F.col("__n_c")
     # Left: rows per key first (partial aggregation before any shuffle), then
     # the membership multiplicity of the key's member_on value.

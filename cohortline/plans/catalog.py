@@ -7,33 +7,38 @@ keys exercise one operator each; report keys run a full report.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.functions.dates import first_renewal_date, month_start, plus_days
+from cohortline.functions.dates import (
+    REPORT_ZONE, day_in_zone, first_renewal_date, last_month_end, month_start, plus_days, rolling_days, today_in,
+    until_last_month_end, until_yesterday,
+)
 from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, visit_id, visitor_id
 from cohortline.functions.urls import url_host
 from cohortline.operators.cohorts import cohort_counts, cohort_rates
 from cohortline.operators.dedup import first_hit
 from cohortline.operators.hits import purchase_hits, with_custom_channel, with_default_channel, with_visit
-from cohortline.operators.load import full_refresh
+from cohortline.operators.load import dedup_target, full_refresh
 from cohortline.operators.policies import (
     attribute, in_scope, policies_with_flags, policy_base, with_fiscal_week,
 )
 from cohortline.operators.reconcile import matched, unmatched
+from cohortline.plans import jobs
 from cohortline.plans import params as P
 from cohortline.plans import reports as R
 from cohortline.session import checkpoint_dir
-from cohortline.sources.tables import Inputs, shared_test_inputs
+from cohortline.sources.tables import Inputs, test_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return shared_test_inputs(spark, sf_dir)
+    return test_inputs(spark, sf_dir)
 
 
 # --- operator-level queries -----------------------------------------------------
@@ -60,13 +65,13 @@ def q_purchase_hits(spark, sf_dir):
 
 def q_default_channel(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    return with_default_channel(i.hits, i.channel_dim).select(
+    return with_default_channel(i.hits, i.marketing_channel).select(
         "event_id", "va_closer_id", "default_channel")
 
 
 def q_custom_channel(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    h = with_default_channel(i.hits, i.channel_dim).withColumnRenamed("post_evar46", "utm_param")
+    h = with_default_channel(i.hits, i.marketing_channel).withColumnRenamed("post_evar46", "utm_param")
     return with_custom_channel(h).select(
         "event_id", "visit_referrer", "utm_param", "default_channel", "custom_channel")
 
@@ -99,7 +104,7 @@ def q_visit_enrichment(spark, sf_dir):
     v = visitor_id("post_visid_high", "post_visid_low")
     h = i.hits.select("event_id", "post_visid_high", "post_visid_low", "visit_num",
                       visit_id(v, "visit_num").alias("visit_id"))
-    return with_visit(h, i.visits).select(
+    return with_visit(h, i.visits, spread_nulls_by=["event_id"]).select(
         "event_id", "visit_id", "device_type", "os_type", "os_version", "start_time")
 
 
@@ -143,17 +148,49 @@ def q_replace_window(spark, sf_dir):
 
 
 def q_report_windows(spark, sf_dir):
+    """Calendar days with their membership in the jobs' windows at a fixed instant."""
     i = _inputs(spark, sf_dir)
+    today = today_in(REPORT_ZONE, P.WINDOWS_INSTANT)
     d = F.col("calendar_day")
+    windows = {"rolling": rolling_days(today), "to_yesterday": until_yesterday(P.WINDOWS_START, today),
+               "to_month_end": until_last_month_end(dt.date(2023, 12, 30), today + dt.timedelta(days=10))}
     return i.calendar.select(
-        d, F.date_sub(d, 8).alias("roll_start"), F.date_sub(d, 1).alias("roll_end"),
-        F.last_day(F.add_months(d, -1)).alias("last_month_end"),
-        month_start(d).alias("month_start"), F.col("fiscal_week_start").alias("week_start"))
+        d, F.lit(today).alias("today"), F.lit(last_month_end(today)).alias("month_end"),
+        day_in_zone(d.cast("timestamp_ntz") + F.expr("interval 13 hours")).alias("day_in_zone"),
+        month_start(d).alias("month_start"), F.col("fiscal_week_start").alias("week_start"),
+        *[d.between(F.lit(lo), F.lit(hi)).alias(f"in_{name}") for name, (lo, hi) in windows.items()])
+
+
+def q_publish_window(spark, sf_dir):
+    """A stored table after the backfill and a daily window load."""
+    i = _inputs(spark, sf_dir)
+    name = f"policy_orders_{uuid.uuid4().hex}"
+    jobs.backfill_policy_orders(i, name, *P.BACKFILL_WINDOW, path=f"{checkpoint_dir(spark)}/tables/{name}")
+    jobs.daily_policy_orders(i, name, today=P.DAILY_TODAY)
+    return spark.table(name).drop(jobs.DAY_PARTITION)
+
+
+def q_dedup_target(spark, sf_dir):
+    """Stored policy orders of two windows, loaded one after the other, each policy once."""
+    i = _inputs(spark, sf_dir)
+    (lo, hi), (_, end) = P.DAILY_WINDOW, P.PURCHASE_WINDOW
+    first = R.policy_orders(i, P.PURCHASE_WINDOW[0], lo - dt.timedelta(days=1))
+    stored = R.daily_refresh(i, first, lo, end)
+    return dedup_target(stored, ["pid"], "date_time", list(R.POLICY_ORDER_COLUMNS[1:]))
+
+
+def q_report_ordered(spark, sf_dir):
+    """A report in presentation order, with each row's place in it (the list
+    keeps the order of the sorted rows; a group per product and channel is bounded)."""
+    i = _inputs(spark, sf_dir)
+    shown = jobs.present(R.purchases_by_custom_channel(i, *P.PURCHASE_WINDOW), ["product", "custom_channel"])
+    listed = shown.coalesce(1).agg(F.collect_list(F.struct(*shown.columns)).alias("rows"))
+    return listed.select(F.posexplode("rows").alias("place", "r")).select("place", "r.*")
 
 
 def q_fiscal_week(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    p = with_fiscal_week(i.policies, i.calendar_dim, "policy_purchase_date", *P.WEEKLY_WINDOW)
+    p = with_fiscal_week(i.policies, i.calendar, "policy_purchase_date", *P.WEEKLY_WINDOW)
     return p.select("policy_identifier", "policy_purchase_date", "purchase_week")
 
 
@@ -191,12 +228,12 @@ def q_callcentre_union(spark, sf_dir):
 
 def q_recon_semi(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    return matched(R.bq_policies(i, *P.PURCHASE_WINDOW), R.grs_policies(i, *P.PURCHASE_WINDOW))
+    return matched(R.bq_policies(i, *P.PURCHASE_WINDOW), R.web_policies(i, *P.PURCHASE_WINDOW))
 
 
 def q_recon_anti(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    return unmatched(R.bq_policies(i, *P.PURCHASE_WINDOW), R.grs_policies(i, *P.PURCHASE_WINDOW))
+    return unmatched(R.bq_policies(i, *P.PURCHASE_WINDOW), R.web_policies(i, *P.PURCHASE_WINDOW))
 
 
 # --- report queries ---------------------------------------------------------------
@@ -267,6 +304,9 @@ QUERIES: dict[str, Query] = {
     "cohort_counts_by_product": q_cohort_counts_by_product,
     "replace_window": q_replace_window,
     "report_windows": q_report_windows,
+    "publish_window": q_publish_window,
+    "dedup_target": q_dedup_target,
+    "report_ordered": q_report_ordered,
     "fiscal_week": q_fiscal_week,
     "month_bucket": q_month_bucket,
     "product_scope": q_product_scope,

@@ -1,9 +1,7 @@
 """The scheduled and once-off jobs: reports written to tables.
 
 * ``backfill_policy_orders``: once-off create-or-replace of the policy-orders
-  table over a fixed window, stored partitioned by hit day and bucketed by
-  ``pid`` (so reports that join it to the policy master on the policy id
-  read it without a shuffle).
+  table over a fixed window, stored partitioned by hit day.
 * ``daily_policy_orders``: the daily reload of the trailing 8 days
   ``[today - 8, today - 1]`` (today in the report zone): only those day
   partitions are rewritten, so late hits up to 8 days old are picked up.
@@ -28,22 +26,30 @@ from cohortline.sources.tables import Inputs
 
 DAY_PARTITION = "hit_day"
 DASHBOARD_START = dt.date(2024, 3, 1)
-# Buckets of the stored policy orders; size so a bucket stays a few hundred MB.
-ORDER_BUCKETS = 64
 
 
 def backfill_policy_orders(inputs: Inputs, table: str, lo: dt.date, hi: dt.date,
-                           buckets: int | None = ORDER_BUCKETS) -> DataFrame:
+                           buckets: int | None = None, path: str | None = None) -> DataFrame:
     """Create or replace ``table`` with the policy orders of ``[lo, hi]``.
 
-    Partitioned by hit day (the daily reload drops and appends day
-    partitions) and bucketed by ``pid``: appends keep the bucketing, and a
-    join on the policy id shuffles only the other side.
+    Partitioned by hit day (the daily reload replaces day partitions). The rows
+    are rebalanced by day before the write: a small day is one file, a large
+    one is split at the advisory partition size, so the number of files follows
+    the data and not the number of tasks. With ``buckets`` (chosen from the
+    table's size) the table is also bucketed by ``pid``, one file per day and
+    bucket, and a join on the policy id shuffles only the other side.
+    ``path`` stores the table's files there instead of in the warehouse.
     """
     rows = R.policy_orders(inputs, lo, hi).withColumn(DAY_PARTITION, F.to_date("date_time"))
+    if buckets:
+        rows = rows.repartition(DAY_PARTITION, F.pmod(F.hash("pid"), F.lit(buckets)))
+    else:
+        rows = rows.hint("rebalance", DAY_PARTITION)
     writer = rows.write.mode("overwrite").partitionBy(DAY_PARTITION).format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, "pid")
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(table)
     return inputs.spark.table(table)
 
@@ -70,7 +76,7 @@ def monthly_dashboard(inputs: Inputs, orders_table: str, out_table: str,
 
 
 def present(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Presentation order for a (small, aggregated) report: sort by its keys.
+    """Presentation order for a (small, aggregated) report: sort by its keys, nulls first.
 
     Only for the final display; stored tables are never sorted.
     """

@@ -36,3 +36,7 @@ MONTHLY_MANUAL_WINDOW = until_yesterday(RETENTION_START, MONTHLY_MANUAL_TODAY)
 
 # Per-policy lifecycle flags.
 LIFECYCLE_REPORT_END = D(2025, 2, 1)
+
+# The report windows at a fixed instant (already the next day in the report zone).
+WINDOWS_INSTANT = dt.datetime(2024, 1, 24, 14, 30)               # UTC
+WINDOWS_START = D(2024, 1, 5)

@@ -2,8 +2,8 @@
 
 Each function returns a lazy DataFrame; nothing runs until the caller acts
 on it. The shuffles of each report are listed in README ("Designed for
-scale") and visible in ``docs/plans/``; dimension joins (channel, calendar)
-are size-checked broadcasts and never shuffle the hits.
+scale") and visible in ``docs/plans/``; the planner broadcasts a dimension
+(channel, calendar) below its size threshold and shuffles it beyond.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from cohortline.functions.lifecycle import with_lifecycle_flags
 from cohortline.operators.cohorts import cohort_counts, cohort_rates
 from cohortline.operators.dedup import first_hit
 from cohortline.operators.hits import (
-    CAR_HOME_PAGES, PURCHASE_PAGES, purchase_hits, with_custom_channel, with_default_channel,
+    CAR_HOME_PAGES, PURCHASE_PAGES, first_visit, purchase_hits, with_custom_channel, with_default_channel,
     with_visit,
 )
 from cohortline.operators.load import replace_window
@@ -34,10 +34,11 @@ POLICY_ORDER_COLUMNS = (
     "os_type", "os_version",
 )
 
-# Tiebreaks that make every first-hit order total (hit id, then the visit
-# row a hit fanned out to).
+# Tiebreaks that make every first-hit order total: hit id, then the rows that
+# a hit fanned out to (visit attributes, channel).
 HIT_TIEBREAK = ("event_id",)
-VISIT_TIEBREAK = ("event_id", "os_version")
+CHANNEL_TIEBREAK = ("event_id", "channel_name")
+VISIT_TIEBREAK = ("event_id", "os_version", "device_type", "os_type", "default_channel")
 
 
 # --- R1 / R2: policy orders ---------------------------------------------------
@@ -45,10 +46,12 @@ VISIT_TIEBREAK = ("event_id", "os_version")
 def policy_orders(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
     """One attributed row per policy id purchased in ``[lo, hi]``.
 
-    Shuffles: hits and visits on the visit key (left join), then the join
-    output on ``pid`` (first hit, with a partial per-key limit before it).
+    Shuffles: hits and visits on the visit key (left join; the visits are
+    reduced to their earliest row per id on the way, with the join's own
+    partitioning), then the join output on ``pid`` (first hit, with a partial
+    per-key limit before it).
     """
-    h = with_default_channel(purchase_hits(inputs.hits, lo, hi), inputs.channel_dim)
+    h = with_default_channel(purchase_hits(inputs.hits, lo, hi), inputs.marketing_channel)
     a = h.select(
         "event_id", "date_time",
         F.lower("evar7").alias("product"),
@@ -60,7 +63,7 @@ def policy_orders(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
         "default_channel",
         F.col("va_closer_detail").alias("default_channel_detail"),
     )
-    a = with_visit(a, inputs.visits, visitor="visitor_id", spread_nulls_by=["event_id"])
+    a = with_visit(a, first_visit(inputs.visits), visitor="visitor_id", spread_nulls_by=["event_id"])
     a = with_custom_channel(a)
     a = first_hit(a, ["pid"], ["date_time", "start_time"], VISIT_TIEBREAK)
     return a.select(*POLICY_ORDER_COLUMNS)
@@ -75,19 +78,24 @@ def daily_refresh(inputs: Inputs, target: DataFrame, lo: dt.date, hi: dt.date) -
 
 def first_purchase_hits(inputs: Inputs, lo: dt.date, hi: dt.date,
                         pages: Sequence[str] = PURCHASE_PAGES,
-                        calendar_days: bool = False) -> DataFrame:
+                        calendar_days: bool = False, channel: bool = True) -> DataFrame:
     """Purchase hits with their default channel, first hit per raw ``evar61``.
 
     The dedup key is the raw id while the filter is on the persisted one, so
     all hits without a raw id collapse into one row (kept as upstream). With
     ``calendar_days`` the hit day must also be a calendar day of the window.
+    Without ``channel`` the channel dimension is not joined and the channel
+    name is null (a report that does not show it skips the join).
     """
     h = purchase_hits(inputs.hits, lo, hi, pages)
     if calendar_days:
-        h = with_fiscal_week(h.withColumn("__day", day_of("date_time")), inputs.calendar_dim,
+        h = with_fiscal_week(h.withColumn("__day", day_of("date_time")), inputs.calendar,
                              "__day", lo, hi, week_col=None).drop("__day")
-    h = with_default_channel(h, inputs.channel_dim, out="channel_name")
-    h = first_hit(h, ["evar61"], ["date_time"], HIT_TIEBREAK)
+    if channel:
+        h = with_default_channel(h, inputs.marketing_channel, out="channel_name")
+    else:
+        h = h.withColumn("channel_name", F.lit(None).cast("string"))
+    h = first_hit(h, ["evar61"], ["date_time"], CHANNEL_TIEBREAK)
     return h.select(
         F.lower("evar7").alias("product"),
         F.col("post_evar61").alias("policy_id"),
@@ -138,14 +146,15 @@ def callcentre_policies(inputs: Inputs) -> DataFrame:
     return car.unionByName(home)
 
 
-def grs_policies(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
-    return first_purchase_hits(inputs, lo, hi).select(F.col("policy_id").alias("pid"), "product")
+def web_policies(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
+    """(bare pid, product) of the first purchase hits."""
+    return first_purchase_hits(inputs, lo, hi, channel=False).select(F.col("policy_id").alias("pid"), "product")
 
 
 def reconciliation(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
     """Policy-master purchases vs web purchases, by product. The call-centre
     list is matched on pid alone, as upstream."""
-    return reconcile(bq_policies(inputs, lo, hi), grs_policies(inputs, lo, hi),
+    return reconcile(bq_policies(inputs, lo, hi), web_policies(inputs, lo, hi),
                      callcentre_policies(inputs), on=("pid", "product"), member_on="pid",
                      left_distinct=True)
 
@@ -181,7 +190,7 @@ def manual_retention_base(inputs: Inputs, start: dt.date, end: dt.date) -> DataF
     """Retail CAR/HOME policies purchased on a calendar day of the window,
     with flags as of ``end``, joined on (bare pid, product) to the first
     purchase hit (car/home pages) with its custom channel."""
-    p = with_fiscal_week(inputs.policies.where(in_scope("car_home_retail")), inputs.calendar_dim,
+    p = with_fiscal_week(inputs.policies.where(in_scope("car_home_retail")), inputs.calendar,
                          "policy_purchase_date", start, end, week_col="purchase_week")
     b = with_lifecycle_flags(policy_base(p, bare_pid=True, extra=[F.col("purchase_week")]), end)
     g = channel_assignment(first_purchase_hits(inputs, start, end, CAR_HOME_PAGES,

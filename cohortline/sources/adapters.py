@@ -29,6 +29,7 @@ PAGE_QUOTE_START = "ev-ins:quote:start"
 CHANNELS = (
     (1, "direct"), (2, "email"), (3, "paid search"), (4, "social"),
     (5, "organic search"), (6, "display"), (7, "paid search"), (8, "paid search"),
+    (2, "newsletter"),  # an id that is listed twice
 )
 
 # Referrer URLs by event_id % 16 (others: a plain site).
@@ -81,12 +82,12 @@ def hits(events: DataFrame) -> DataFrame:
         F.when(is_error, null_s).otherwise(k.cast("string")).alias("post_evar61"),
         F.when(is_error | (e % 20 == 0), null_s).otherwise(k.cast("string")).alias("evar61"),
         F.concat(F.lit("mc"), F.col("user_id").cast("string")).alias("mcvisid"),
-        F.col("user_id").cast("decimal(20,0)").alias("post_visid_high"),
+        F.when(e % 31 != 0, F.col("user_id").cast("decimal(20,0)")).alias("post_visid_high"),
         (F.col("user_id") * 7).cast("decimal(20,0)").alias("post_visid_low"),
         (e % 3 + 1).cast("string").alias("visit_num"),
         _case(e % 16, REFERRERS, REFERRER_OTHER).alias("visit_referrer"),
         _case(e % 29, UTMS, UTM_OTHER).alias("post_evar46"),
-        (e % 11).cast("string").alias("va_closer_id"),
+        F.when(e % 23 == 5, F.lit("n/a")).when(e % 23 != 3, (e % 11).cast("string")).alias("va_closer_id"),
         F.col("event_type").alias("va_closer_detail"),
         F.when(F.col("event_type") == "view", F.lit(PAGE_QUOTE_START))
         .when(k6 == 0, F.lit(PAGE_CAR)).when(k6 == 2, F.lit(PAGE_HOME))
@@ -109,8 +110,9 @@ def marketing_channel(spark: SparkSession) -> DataFrame:
 
 
 def visits(events: DataFrame) -> DataFrame:
-    """Visit dimension; a visit id can carry two rows (two OS versions), and
-    users with id divisible by 10 have no visits (left-join misses)."""
+    """Visit dimension; a visit id can carry two rows (two OS versions), for some
+    users also two devices with the same start and OS version, and users with
+    id divisible by 10 have no visits (left-join misses)."""
     u, e = F.col("user_id"), F.col("event_id")
     grouped = (
         events.where(u % 10 != 0)
@@ -127,12 +129,15 @@ def visits(events: DataFrame) -> DataFrame:
         F.concat(F.lit("os-"), F.col("r2").cast("string")).alias("os_name"),
         F.col("start_time"),
     )
+    out = out.unionByName(out.where(F.col("visit_id").like("%7\\_1")).withColumn("device", F.lit("console")))
     return schemas.conform(out, schemas.VISITS, "visits")
 
 
 def policies(orders: DataFrame) -> DataFrame:
-    """Policy master: one policy per order key; CAR and HOME identifiers
-    carry a prefix, TRAVEL ones do not."""
+    """Policy master: one policy per order key, some listed twice; CAR and HOME
+    identifiers carry a prefix, TRAVEL ones do not."""
+    orders = orders.select("o_orderkey")
+    orders = orders.unionByName(orders.where(F.col("o_orderkey") % 90 == 0))
     key = F.col("o_orderkey")
     m = key % 6
     is_car, is_travel = m.isin(0, 1), m == 4
@@ -164,8 +169,10 @@ def policies(orders: DataFrame) -> DataFrame:
 
 
 def callcentre_car(orders: DataFrame) -> DataFrame:
+    """Car policies sold by phone; some are listed twice."""
     key = F.col("o_orderkey")
-    return orders.where(key % 12 == 0).select(
+    listed = orders.select(key).where(key % 12 == 0)
+    return listed.unionByName(listed.where(key % 36 == 0)).select(
         F.concat(F.lit("MOT"), key.cast("string")).alias("policy_id"))
 
 

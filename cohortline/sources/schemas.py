@@ -8,8 +8,9 @@ wrong feed fails at plan time, not in the middle of a job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType, DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    DataType, DateType, DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 
@@ -71,17 +72,56 @@ CALENDAR = _s(
 MEMBER_LIST = _s(("policy_id", StringType(), True))
 
 
-def conform(df: DataFrame, schema: StructType, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Select the declared columns in declared order (plus ``keep``); fail on
-    a missing column or a type mismatch. Other columns are pruned away."""
+# Conversions that keep every value: from -> to. A plain timestamp becomes its
+# wall-clock time in the session time zone.
+_INTS = ("tinyint", "smallint", "int", "bigint")
+_WIDER = {(a, b) for b in ("bigint", "string", "decimal(20,0)") for a in _INTS} | {("timestamp", "timestamp_ntz")}
+
+
+def _plain(name: str) -> str:
+    return name.lower().replace("_", "")
+
+
+def find(df: DataFrame, column: str, names: dict[str, str] | None = None) -> str | None:
+    """The name that ``column`` has in ``df``: as given in ``names``, or equal
+    but for case, or equal but for case and underscores."""
+    if names and column in names:
+        return names[column]
+    for same in (str.lower, _plain):
+        got = [c for c in df.columns if same(c) == same(column)]
+        if len(got) > 1 and column not in got:
+            raise ValueError(f"{column!r} could be any of {got}")
+        if got:
+            return column if column in got else got[0]
+    return None
+
+
+def _wider(have: DataType, want: DataType) -> bool:
+    if isinstance(have, DecimalType) and isinstance(want, DecimalType):
+        return (have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale)
+    return (have.simpleString(), want.simpleString()) in _WIDER
+
+
+def conform(df: DataFrame, schema: StructType, name: str, keep: tuple[str, ...] = (),
+            names: dict[str, str] | None = None) -> DataFrame:
+    """Select the declared columns in declared order (plus ``keep``).
+
+    Names match as in ``find``; a type that can be widened without changing a value
+    is cast. Fails on a missing column or another type. Other columns are pruned away."""
     have = {f.name: f.dataType for f in df.schema.fields}
+    out = []
     for f in schema.fields:
-        if f.name not in have:
+        own = find(df, f.name, names)
+        if own is None or own not in have:
             raise ValueError(f"{name}: missing column {f.name!r}")
-        if have[f.name] != f.dataType:
-            raise TypeError(f"{name}.{f.name}: expected {f.dataType.simpleString()}, "
-                            f"got {have[f.name].simpleString()}")
+        column = F.col(f"`{own}`")
+        if have[own] != f.dataType:
+            if not _wider(have[own], f.dataType):
+                raise TypeError(f"{name}.{f.name}: expected {f.dataType.simpleString()}, "
+                                f"got {have[own].simpleString()}")
+            column = column.cast(f.dataType)
+        out.append(column.alias(f.name))
     for k in keep:
         if k not in have:
             raise ValueError(f"{name}: missing column {k!r}")
-    return df.select(*[f.name for f in schema.fields], *keep)
+    return df.select(*out, *[F.col(f"`{k}`") for k in keep])

@@ -10,9 +10,9 @@ row ranges a report uses.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortline.sources import adapters, schemas
 
@@ -27,24 +27,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_min_parallelism(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Spread a fact scan that has fewer splits than the cluster has cores.
-
-    A file written as one row group is read by one task however many cores
-    there are, and every narrow step after the scan (the adapter columns,
-    filters, broadcast joins, partial aggregates) then runs in that one task.
-    Below the threshold the rows are hash-spread on ``key`` (deterministic
-    under task retries, with no sort, unlike a round-robin spread); filters
-    and column pruning still reach the scan, since Catalyst pushes them
-    through the repartition. A large table already has at least that many
-    splits, so this is a no-op at scale and never adds a shuffle there.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
 @dataclass
 class Inputs:
     spark: SparkSession
@@ -56,22 +38,10 @@ class Inputs:
     callcentre_home: DataFrame
     calendar: DataFrame
 
-    @cached_property
-    def channel_dim(self) -> DataFrame:
-        """The channel dimension, broadcast when its size check passes."""
-        from cohortline.operators.broadcast import bounded_broadcast
-        return bounded_broadcast(self.marketing_channel, max_rows=100_000)
-
-    @cached_property
-    def calendar_dim(self) -> DataFrame:
-        """The calendar (one row per day), broadcast when its size check passes."""
-        from cohortline.operators.broadcast import bounded_broadcast
-        return bounded_broadcast(self.calendar, max_rows=200_000)
-
 
 def test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    events = with_min_parallelism(read_table(spark, sf_dir, "events"), "event_id")
-    orders = with_min_parallelism(read_table(spark, sf_dir, "orders"), "o_orderkey")
+    events = read_table(spark, sf_dir, "events")
+    orders = read_table(spark, sf_dir, "orders")
     return Inputs(
         spark=spark,
         hits=adapters.hits(events),
@@ -84,46 +54,43 @@ def test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
-_INPUTS: dict[tuple[int, str], Inputs] = {}
-
-
-def shared_test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """``test_inputs`` memoised per session and folder.
-
-    A job that runs several reports over the same tables plans the adapter
-    views and checks the dimension sizes once. The inputs are read-only, so
-    the cached plans and size checks stay valid for the session's life.
-    """
-    key = (id(spark), sf_dir.rstrip("/"))
-    cached = _INPUTS.get(key)
-    if cached is None or cached.spark is not spark:
-        cached = _INPUTS[key] = test_inputs(spark, sf_dir)
-    return cached
-
-
 def catalog_inputs(spark: SparkSession, *, hits: str, marketing_channel: str, visits: str,
                    policies: str, callcentre_car: str, callcentre_home: str,
-                   calendar: str, hits_day_column: str | None = None) -> Inputs:
-    """Inputs from catalog tables that already follow ``schemas``.
+                   calendar: str, hits_day_column: str | None = None,
+                   columns: dict[str, dict[str, str]] | None = None) -> Inputs:
+    """Inputs from catalog tables.
+
+    Columns are matched to ``schemas`` without regard to case and underscores
+    (``SourceProduct`` is ``source_product``); ``columns`` names others, as
+    ``{"hits": {"event_id": "hit_id"}}``. Types are widened where no value can
+    change (``schemas.conform``).
+
+    Hits without an ``event_id`` get a hash of the whole row instead: it only
+    breaks ties between hits of the same key and time.
 
     ``hits_day_column`` names the hit table's day partition column, which
     must equal ``date(date_time)``. It is kept (as ``hit_day``) so report
     windows prune whole partitions; a filter on ``date_time`` alone can only
     skip row groups.
     """
-    t = spark.table
-    hits_df = schemas.conform(t(hits), schemas.HITS, hits,
-                              keep=(hits_day_column,) if hits_day_column else ())
+    columns = columns or {}
+
+    def load(kind: str, name: str, schema, keep: tuple[str, ...] = ()) -> DataFrame:
+        df = spark.table(name)
+        if kind == "hits" and not schemas.find(df, "event_id", columns.get(kind, {})):
+            df = df.withColumn("event_id", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        return schemas.conform(df, schema, name, keep=keep, names=columns.get(kind, {}))
+
+    hits_df = load("hits", hits, schemas.HITS, (hits_day_column,) if hits_day_column else ())
     if hits_day_column and hits_day_column != schemas.HIT_DAY:
         hits_df = hits_df.withColumnRenamed(hits_day_column, schemas.HIT_DAY)
     return Inputs(
         spark=spark,
         hits=hits_df,
-        marketing_channel=schemas.conform(t(marketing_channel), schemas.MARKETING_CHANNEL,
-                                          marketing_channel),
-        visits=schemas.conform(t(visits), schemas.VISITS, visits),
-        policies=schemas.conform(t(policies), schemas.POLICIES, policies),
-        callcentre_car=schemas.conform(t(callcentre_car), schemas.MEMBER_LIST, callcentre_car),
-        callcentre_home=schemas.conform(t(callcentre_home), schemas.MEMBER_LIST, callcentre_home),
-        calendar=schemas.conform(t(calendar), schemas.CALENDAR, calendar),
+        marketing_channel=load("marketing_channel", marketing_channel, schemas.MARKETING_CHANNEL),
+        visits=load("visits", visits, schemas.VISITS),
+        policies=load("policies", policies, schemas.POLICIES),
+        callcentre_car=load("callcentre_car", callcentre_car, schemas.MEMBER_LIST),
+        callcentre_home=load("callcentre_home", callcentre_home, schemas.MEMBER_LIST),
+        calendar=load("calendar", calendar, schemas.CALENDAR),
     )

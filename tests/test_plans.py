@@ -60,23 +60,6 @@ def test_channel_dimension_is_broadcast(spark):
     assert "LeftOuter" in text
 
 
-def test_bounded_broadcast_falls_back_beyond_bound(spark):
-    from cohortline.operators.broadcast import bounded_broadcast
-
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        ok = big.join(bounded_broadcast(small, max_rows=10), "k")
-        assert "BroadcastHashJoin" in formatted(ok)
-        over = big.join(bounded_broadcast(small, max_rows=9), "k")
-        assert "BroadcastHashJoin" not in formatted(over)
-        assert ok.count() == over.count() == 10
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_hot_key_dedup_shuffles_one_row_per_map_task(spark):
     """A key holding a third of all rows: the partial limit runs before the
     exchange, so the shuffle carries at most one row per key per task."""
@@ -98,28 +81,45 @@ def test_hot_key_dedup_shuffles_one_row_per_map_task(spark):
     assert out.count() == 20001
 
 
-def test_size_check_reruns_when_files_are_added(spark, tmp_path):
-    from cohortline.operators.broadcast import fits
+def test_building_a_report_starts_no_job(spark, inputs_small):
+    from cohortline.plans import params as P
+    from cohortline.plans import reports as R
 
-    path = str(tmp_path / "dim")
-    spark.range(0, 5).write.parquet(path)
-    assert fits(spark.read.parquet(path), max_rows=5)
-    spark.range(5, 10).write.mode("append").parquet(path)  # the table grows past the bound
-    assert not fits(spark.read.parquet(path), max_rows=5)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    orders = R.policy_orders(inputs_small, *P.DAILY_WINDOW)
+    R.reconciliation(inputs_small, *P.PURCHASE_WINDOW)
+    R.retention_dashboard(inputs_small, orders, *P.DASHBOARD_WINDOW)
+    R.retention_weekly(inputs_small, *P.WEEKLY_WINDOW)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
-def test_visit_reduction_engages_automatically_for_many_file_visits(spark, inputs_small, tmp_path):
-    from cohortline.operators.hits import REDUCE_MIN_FILES, purchase_hits, with_visit
-    from cohortline.plans import params as P
+def test_reports_do_not_repartition_scans(spark):
+    for key in REPORTS:
+        assert "REPARTITION_BY" not in formatted(QUERIES[key](spark, SF_SMALL)), key
+
 
-    path = str(tmp_path / "visits")
-    inputs_small.visits.repartition(REDUCE_MIN_FILES).write.parquet(path)
-    many = spark.read.parquet(path)
-    assert len(many.inputFiles()) >= REDUCE_MIN_FILES
-    h = purchase_hits(inputs_small.hits, *P.PURCHASE_WINDOW).select(
-        "event_id", "post_visid_high", "post_visid_low", "visit_num")
-    auto = with_visit(h, many)
-    assert "LeftSemi" in formatted(auto)
-    plain = with_visit(h, inputs_small.visits, reduce_visits=False)
-    assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, plain.collect()))
-    assert "LeftSemi" not in formatted(with_visit(h, inputs_small.visits))  # few files: off
+def test_reconciliation_skips_the_channel_dimension(spark):
+    text = formatted(QUERIES["report_reconcile"](spark, SF_SMALL))
+    assert "channel_id" not in text
+
+
+def test_hot_visit_id_does_not_fan_out(spark, inputs_small):
+    """A visit id with very many rows: reduced before the join, one row per hit after it."""
+    from pyspark.sql import functions as F
+
+    from cohortline.operators.hits import first_visit, with_visit
+
+    one = inputs_small.visits.where("visit_id is not null").limit(1)
+    hot = one.select(one.visit_id).crossJoin(spark.range(20000)).select(
+        "visit_id", F.lit("d").alias("device"), F.lit("m").alias("mobile_device_type"),
+        F.concat(F.lit("os"), F.col("id").cast("string")).alias("os_name"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("start_time"))
+    visit = one.first().visit_id
+    visitor, num = visit.rsplit("_", 1)
+    hits = spark.range(50).select("id", F.lit(visitor).alias("v"), F.lit(num).alias("visit_num"))
+    out = with_visit(hits, first_visit(hot), visitor="v")
+    assert out.count() == 50
+    assert {r.os_version for r in out.collect()} == {"os0"}
+    text = formatted(out)
+    assert text.count("Exchange\n") <= 2 or "partial_min" in text

@@ -132,22 +132,6 @@ def test_reconcile_matches_brute_force(spark, left, right, members):
     assert got_d == brute_reconcile(dl, right, members)
 
 
-def test_visit_semi_join_reduction_keeps_result(spark, inputs_small):
-    from cohortline.operators.hits import purchase_hits, with_visit
-    from tests.test_plans import formatted
-
-    h = purchase_hits(inputs_small.hits, *P.PURCHASE_WINDOW).select(
-        "event_id", "post_visid_high", "post_visid_low", "visit_num")
-    plain = with_visit(h, inputs_small.visits, spread_nulls_by=["event_id"], reduce_visits=False)
-    reduced = with_visit(h, inputs_small.visits, spread_nulls_by=["event_id"], reduce_visits=True)
-    assert "LeftSemi" in formatted(reduced)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, reduced.collect()))
-    # beyond the bound the plain join is used
-    capped = with_visit(h, inputs_small.visits, reduce_visits=True, reduce_max_keys=1)
-    assert "LeftSemi" not in formatted(capped)
-    assert capped.count() == plain.count()
-
-
 def test_null_visit_keys_spread_and_miss(spark):
     from cohortline.operators.hits import with_visit
 
@@ -160,8 +144,7 @@ def test_null_visit_keys_spread_and_miss(spark):
         F.concat(F.col("id").cast("string"), F.lit("_1")).alias("visit_id"),
         F.lit("d").alias("device"), F.lit("t").alias("mobile_device_type"),
         F.lit("o").alias("os_name"), F.lit(None).cast("timestamp_ntz").alias("start_time"))
-    out = with_visit(hits, visits, visitor="visitor_id", spread_nulls_by=["event_id"],
-                     reduce_visits=False)
+    out = with_visit(hits, visits, visitor="visitor_id", spread_nulls_by=["event_id"])
     assert out.count() == 3000
     assert out.where("device_type is null").count() == 1000
     assert out.where("visitor_id is not null and device_type is null").count() == 0

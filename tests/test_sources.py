@@ -100,3 +100,65 @@ def test_cli_report_command(spark, stored_inputs, capsys):
                      "--start", P.RETENTION_START.isoformat(), "--today", P.WEEKLY_TODAY.isoformat()]) == 0
     out = capsys.readouterr().out
     assert "purchase_week" in out and "renewal_rate" in out
+
+
+def test_conform_matches_names_and_widens_types(spark):
+    feed = spark.sql("""select 7 as ChannelID, 'direct' as Channel_Name, 1 as other""")
+    got = schemas.conform(feed, schemas.MARKETING_CHANNEL, "m")
+    assert got.dtypes == [("channel_id", "bigint"), ("channel_name", "string")]
+    assert got.first() == (7, "direct")
+    named = schemas.conform(feed.withColumnRenamed("ChannelID", "key"), schemas.MARKETING_CHANNEL, "m",
+                            names={"channel_id": "key"})
+    assert named.first() == (7, "direct")
+    with pytest.raises(TypeError):  # would lose digits
+        schemas.conform(spark.sql("select 1.5 as channel_id, 'x' as channel_name"), schemas.MARKETING_CHANNEL, "m")
+
+
+def test_upstream_column_names_and_missing_hit_id(spark, inputs_small, stored_inputs):
+    """Feeds with their own spelling, a plain timestamp and no hit id."""
+    spark.sql("DROP TABLE IF EXISTS src_hits_up")
+    up = inputs_small.hits.drop("event_id").withColumn("date_time", F.col("date_time").cast("timestamp"))
+    up = up.withColumnRenamed("evar7", "eVar7").withColumnRenamed("post_evar61", "post_eVar61")
+    up.write.saveAsTable("src_hits_up")
+    spark.sql("DROP TABLE IF EXISTS src_policies_up")
+    inputs_small.policies.toDF("SourceProduct", "PolicyIdentifier", "ProductSubtype", *inputs_small.policies.columns[3:]
+                               ).write.saveAsTable("src_policies_up")
+    names = {t: f"src_{t}" for t in TABLES} | {"hits": "src_hits_up", "policies": "src_policies_up"}
+    i = catalog_inputs(spark, **names)
+    assert _rows(R.reconciliation(i, *P.PURCHASE_WINDOW)) == _rows(R.reconciliation(inputs_small, *P.PURCHASE_WINDOW))
+
+
+def test_cli_prunes_hit_days_and_rejects_unknown_names(spark, stored_inputs, monkeypatch):
+    from cohortline import cli
+    from tests.test_plans import formatted
+
+    spark.sql("DROP TABLE IF EXISTS src_hits_days")
+    (stored_inputs.hits.withColumn("day", F.to_date("date_time"))
+     .write.partitionBy("day").format("parquet").saveAsTable("src_hits_days"))
+    spec = ",".join(f"{t}=src_{t}" for t in TABLES if t != "hits") + ",hits=src_hits_days,hits_day_column=day"
+    seen = []
+    monkeypatch.setattr(cli, "full_refresh", lambda df, table: seen.append(formatted(df)))
+    assert cli.main(["report", "purchases_custom", "--tables", spec, "--out-table", "x",
+                     "--start", "2024-01-10", "--end", "2024-01-12"]) == 0
+    assert "PartitionFilters: [isnotnull(day" in seen[0]
+    with pytest.raises(SystemExit):
+        cli.main(["report", "reconcile", "--tables", spec + ",hitz=x"])
+
+
+def test_policy_ids_are_kept_whole(spark):
+    from cohortline.functions.keys import bare_policy_id
+
+    long = "MOT" + "7" * 116
+    rows = spark.createDataFrame([("CAR", long + "1"), ("CAR", long + "2")], "p string, i string")
+    got = {r[0] for r in rows.select(bare_policy_id("p", "i")).collect()}
+    assert got == {long[3:] + "1", long[3:] + "2"}
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from cohortline.session import checkpoint_dir
+
+    context = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=context))
