@@ -281,7 +281,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     """Write the tokens of ``docs``; returns the shards.
 
     ``(shard, uri, n_docs, n_ids)`` with the shards numbered in document order:
-    by ascending id, or by the columns of ``order``. A null or empty text is just
+    by ascending id, or by the values of ``order``, ascending. A null or empty text is just
     the end id. Rows with equal ids (ties, repeated rows) are all written, next to
     each other, ordered by text; a null id sorts first and is stored as null.
     Other columns are ignored. An empty table writes nothing and has no shards.

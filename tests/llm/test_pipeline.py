@@ -112,4 +112,4 @@ def test_stages_take_empty_tables_and_nulls(spark):
                                  (3, "a b", "en", "s", 3)], docs.schema)
     for _, function in P.STAGES[:4]:
         assert function(spark, docs.limit(0), SF_SMALL).collect() == []
-        assert 1 <= function(spark, odd, SF_SMALL).count() <= 4 * 2
+        assert 1 <= function(spark, odd, SF_SMALL).count() <= 32  # whole blocks of the mix

@@ -61,7 +61,7 @@ def test_files_round_trip(spark, tokenizer, mode, block):
 
 def test_repeated_rows_order_and_empty_table(spark, tokenizer):
     df = spark.createDataFrame([(2, "b", "x", 1), (1, "a a", "x", 3), (2, "b", "x", 2)], SCHEMA)
-    shards = write_tokens(df, scratch(spark, "t"), order=[F.col("uri").desc()])
+    shards = write_tokens(df, scratch(spark, "t"), order=[-F.col("uri")])
     got = sorted(read_tokens(shards).collect(), key=lambda r: r.start)
     assert [r.id for r in got] == [1, 2, 2]
     files = sorted(shards.collect(), key=lambda f: f.shard)
