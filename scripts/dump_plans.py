@@ -3,12 +3,8 @@
 Usage: python scripts/dump_plans.py [sf_dir]
 
 Auto-broadcast is switched off so the files show the plan Spark picks for
-large inputs: only the size-checked explicit broadcasts remain. Run on the
-local test files, the plans also contain the small-input spreads
-(``hashpartitioning(event_id)`` / ``(o_orderkey)``, see
-``sources.tables.with_min_parallelism``) and the calendar adapter's
-``distinct`` (``hashpartitioning(calendar_day)``); neither exists for
-large, many-file inputs or a stored calendar table.
+large inputs. Run on the local test files, the plans also contain the adapters'
+own aggregates (visits, calendar), which stored tables do not have.
 """
 
 from __future__ import annotations
