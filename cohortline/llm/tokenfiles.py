@@ -338,7 +338,7 @@ def read_tokens(shards: DataFrame) -> DataFrame:
     names = ["id", "start", "n_tokens", "ids_crc32"]
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = shards.select("uri", "shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    spread = based.repartition("uri")
+    spread = based.repartition(max(1, shards.count()), "shard")  # a task per file, however short the list
     return spread.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
 
 
