@@ -19,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from math import log
 
 import numpy as np
@@ -75,6 +76,22 @@ PRIOR = (
 )
 
 
+@lru_cache(maxsize=20_000)
+def class_says(name: str) -> str:
+    """What one class, id or role says of its element: ``boiler``, ``content``
+    or nothing. Its first and last words count as boilerplate words (main-nav, comment-list);
+    "with-sidebar" and its like only speak of the layout, and an
+    article-header holds the title."""
+    words = _WORD.findall(_HUMP.sub(" ", name).lower())
+    if not words or words[0] in ("has", "with", "no", "without"):
+        return ""
+    if words[-1] == "header" and not {"article", "post", "entry", "story"}.isdisjoint(words):
+        return ""
+    if words[0] in BOILER_WORDS or words[-1] in BOILER_WORDS:
+        return "boiler"
+    return "content" if not CONTENT_WORDS.isdisjoint(words) else ""
+
+
 class Element:
     """An open element: its place in the tree and what its markup says."""
 
@@ -87,11 +104,9 @@ class Element:
         boiler = name in BOILER_TAGS or (name == "header" and not inside)
         content = name in CONTENT_TAGS
         if attrs and name not in ("html", "body"):
-            words = set()
-            for m in _NAMED.finditer(attrs):
-                words.update(_WORD.findall(_HUMP.sub(" ", m[2]).lower()))
-            content = content or not words.isdisjoint(CONTENT_WORDS) and words.isdisjoint(("comment", "comments"))
-            boiler = boiler or not content and not words.isdisjoint(BOILER_WORDS)
+            says = [said for m in _NAMED.finditer(attrs) for c in m[2].strip("\"'").split() if (said := class_says(c))]
+            boiler = boiler or "boiler" in says
+            content = content or "content" in says and "boiler" not in says
             boiler = boiler or bool(HIDDEN.search(attrs))
         self.boiler = boiler or (parent.boiler if parent else False)
         self.content = content or inside

@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from cohortline.llm.html_extract import blocks, extract, max_flow_labels
+from cohortline.llm.html_extract import blocks, class_says, extract, max_flow_labels
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="with-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu one</a><li><a href="/b">Menu two</a></ul></nav>
@@ -51,6 +51,15 @@ def test_blocks():
     assert [b.text for b in blocks("<ul><li>a<li>b</ul>tail <a title='>'>link</a>")] == ["a", "b", "tail link"]
 
 
+def test_class_names():
+    for name in ("ad", "main-nav", "commentList", "site-header", "article-footer", "related_posts", "navigation", "content-ad"):
+        assert class_says(name) == "boiler", name
+    for name in ("post-content", "entry", "main", "articleBody", "story"):
+        assert class_says(name) == "content", name
+    for name in ("with-sidebar", "has-ads", "article-header", "row", "x1", "reader", "shadow", ""):
+        assert class_says(name) == "", name
+
+
 def test_pages(spark):
     made = list(pages())
     rows = [(i, f"http://x/{i}", h, "keep") for i, (h, _) in enumerate(made)]
