@@ -58,16 +58,22 @@ def _rows(column: pa.Array) -> list[np.ndarray | None]:
     return [None if v is None or None in v else np.array(v, np.float64) for v in column.to_pylist()]
 
 
+def number_type(table: DataFrame, vector_col: str) -> str:
+    """Four bytes a number for a float column (exact), eight for any other."""
+    return "<f4" if dict(table.dtypes)[vector_col] == "array<float>" else "<f8"
+
+
 def vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(id, key, vec)``: the bytes of each usable vector and their 128-bit
-    hash; both null where the vector (or the id) cannot be linked."""
+    """``(id, key, vec)``: the bytes of each usable vector, as wide as the column's
+    numbers, and their 128-bit hash; both null where the vector (or the id) cannot be linked."""
+    kind = number_type(table, vector_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys, vecs = batch.column(0).to_pylist(), [], []
             for i, v in zip(ids, _rows(batch.column(1))):
                 norm = 0.0 if i is None or v is None or not len(v) or not np.isfinite(v).all() else np.abs(v).max()
-                raw = (v + 0.0).astype("<f8").tobytes() if norm > 0 else None
+                raw = (v + 0.0).astype(kind).tobytes() if norm > 0 else None
                 vecs.append(raw)
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest() if raw else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(vecs, pa.binary())],
@@ -84,21 +90,22 @@ def unit(matrix: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """``(bucket, table, dim, rep, n, vec, signs)``: each class in every table."""
+def buckets(classes: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
+    """``(bucket, t, rep, n, vec, signs)``: each class in every table ``t``."""
+    width, packing = np.dtype(kind).itemsize, sign_type(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             raw = batch.column(2).to_pylist()
-            size = np.array([len(r) // 8 for r in raw])
+            size = np.array([len(r) // width for r in raw])
             for dim in np.unique(size):
                 own = np.flatnonzero(size == dim)
                 for at in range(0, len(own), 1024):
                     part = own[at:at + 1024]
-                    m = unit(np.frombuffer(b"".join(raw[i] for i in part), "<f8").reshape(len(part), dim))
+                    m = unit(np.frombuffer(b"".join(raw[i] for i in part), kind).astype(np.float64).reshape(len(part), dim))
                     sign = (m @ hyperplanes(int(dim), bits, tables) >= 0).reshape(len(part), tables, bits)
-                    signs = (sign * (1 << np.arange(bits))).sum(axis=2).astype("<u4")
+                    signs = (sign * (1 << np.arange(bits))).sum(axis=2).astype(packing)
                     packed = pa.array([s.tobytes() for s in signs], pa.binary())
                     vec = pa.array([raw[i] for i in part], pa.binary())
                     for t in range(tables):
@@ -111,7 +118,11 @@ def buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
         run, "bucket long, t int, rep long, n long, vec binary, signs binary")
 
 
-def _compare(threshold: float):
+def sign_type(bits: int) -> str:
+    return "<u2" if bits <= 16 else "<u4"
+
+
+def _compare(threshold: float, kind: str, packing: str):
     key = ["bucket", "ti", "tj"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +137,8 @@ def _compare(threshold: float):
             for a, b in zip(start, end):
                 if b - a < 2:
                     continue
-                m = unit(np.frombuffer(b"".join(vec[a:b].to_pylist()), "<f8").reshape(b - a, -1))
-                s = np.frombuffer(b"".join(signs[a:b].to_pylist()), "<u4").reshape(b - a, -1)[:, :t[a]]
+                m = unit(np.frombuffer(b"".join(vec[a:b].to_pylist()), kind).astype(np.float64).reshape(b - a, -1))
+                s = np.frombuffer(b"".join(signs[a:b].to_pylist()), packing).reshape(b - a, -1)[:, :t[a]]
                 l, r = np.flatnonzero(left[a:b]), np.flatnonzero(right[a:b])
                 for at in range(0, len(l), 512):
                     x = l[at:at + 512]
@@ -166,9 +177,10 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     classes = stage(rows.where("key is not null").groupBy("key")
                     .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("vec").alias("vec")), "classes")
     bits, tables = plan(classes.count(), threshold, recall)
-    tiles = tile_hot_keys(buckets(classes, bits, tables).withColumn("first", F.lit(True)), "bucket", "rep", "first")
+    kind = number_type(table, vector_col)
+    tiles = tile_hot_keys(buckets(classes, bits, tables, kind).withColumn("first", F.lit(True)), "bucket", "rep", "first")
     met = stage(tiles.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
-                .mapInArrow(_compare(threshold), "u long, v long, n long"), "links")
+                .mapInArrow(_compare(threshold, kind, sign_type(bits)), "u long, v long, n long"), "links")
     counts = met.where("n > 0").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("far"))
     label = connected_components(met.where("u <> v"), "embeddings")
     of_class = (classes.select("key", "rep", "n").join(counts, "rep", "left")
