@@ -64,14 +64,11 @@ def release(*tables: DataFrame) -> None:
     tables[0].sparkSession._jvm.System.gc()
 
 
-def utf8(column: pa.Array) -> Iterator[bytes]:
-    """The UTF-8 bytes of each value of a string array; null is empty."""
-    for value in column.cast(pa.large_binary()):
-        yield value.as_py() or b""
-
-
-def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
-    return [t or "" for t in batch.column(name).to_pylist()]
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that only a piece's texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def chunked(batches: Iterator[pa.RecordBatch], key: list[str], rows: int = 65536

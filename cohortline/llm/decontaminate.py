@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import stage
+from cohortline.llm.common import slices, stage
 
 #: Edits allowed per character of the normalised item.
 EDIT_RATE = 0.08
@@ -192,7 +192,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def search(get: Callable[[], Matcher]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 match = get()
                 out = []
                 for text, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -222,7 +222,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     def keep(get: Callable[[], Matcher]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 match = get()
                 clean = [not match(normalise(t)) for t in batch.column(place).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))

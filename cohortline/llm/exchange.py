@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import stage
+from cohortline.llm.common import slices, stage
 
 #: Text bytes in a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 14_000_000
@@ -93,7 +93,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, flag: Column, lower: bool,
                  pa.array([flags], pa.list_(pa.bool_())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
                  pa.array([squeeze(b"".join(texts))], pa.binary())], names=["chunk", "ids", "flags", "sizes", "raw"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for i, t, y in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 text = (t or "").encode()
                 text = text.lower() if lower else text

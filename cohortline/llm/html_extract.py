@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cohortline.llm.common import fresh
+from cohortline.llm.common import fresh, slices
 
 #: Pages of the classifier's training sample, about (those with a low hash of their address).
 TRAIN_PAGES = 2000
@@ -333,7 +333,7 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample:
     """Train the classifier on a bounded sample of about ``sample`` pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features(b)[:400] for t in batch.column(0).to_pylist() if (b := blocks(t or ""))]
             flat = np.vstack(rows).astype("<f4").tobytes() if rows else b""
             yield pa.RecordBatch.from_arrays([pa.array([flat], pa.binary())], names=["x"])
@@ -359,7 +359,7 @@ def extract(pages: DataFrame, html_col: str = "html", out_col: str = "main_text"
     place = pages.columns.index(html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for page in batch.column(place).to_pylist():
                 found = blocks(page or "")

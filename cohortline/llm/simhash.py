@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import (chunked, connected_components, group_starts, local_components,
-                                   pair_blocks, stage, tile_hot_keys)
+                                   pair_blocks, slices, stage, tile_hot_keys)
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null text counts as empty and gets 0. Rows are never merged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.fromiter((fingerprint((t or "").encode(), words)
                                for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])

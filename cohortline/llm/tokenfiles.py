@@ -38,14 +38,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import scratch, stage
+from cohortline.llm.common import scratch, slices, stage
 
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Chunks remembered in a task; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 LEVEL = 3
 
 
@@ -291,16 +291,12 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         from pyspark import TaskContext
 
         writer = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, 256):
             if writer is None:
                 uri = f"{folder}/{uuid.uuid4().hex}.idp"
                 writer, encode = ShardWriter(uri, mode, block_ids), encoder(tokenizer_path(tokenizer), end_id)
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(ids), 256):
-                sizes, tokens = encode(texts[at:at + 256])
-                writer.add(ids[at:at + 256], sizes, tokens)
+            sizes, tokens = encode([t or "" for t in batch.column(1).to_pylist()])
+            writer.add(batch.column(0).to_pylist(), sizes, tokens)
         if writer is not None:
             writer.close()
             encode.forget()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import stage
+from cohortline.llm.common import slices, stage
 
 #: Labelled documents of either label that the weights are fitted on, about.
 SAMPLE_DOCS = 8000
@@ -104,7 +104,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 [pa.array(words, pa.string()), *(pa.array([held[k][w] for w in words], pa.int64()) for k in (1, 0))],
                 names=["word", "pos", "neg"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held[y].update({p for w in set(_WORD.findall(t.lower())) for p in parts(w)})
             if len(held[0]) + len(held[1]) > 500_000:
@@ -146,7 +146,7 @@ def bags(rows: DataFrame, words: list[str]) -> DataFrame:
     place = {w: i for i, w in enumerate(words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = [bag(t, place) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([g[0] for g in got], pa.int32()),
                                               pa.array([g[1] for g in got], pa.list_(pa.int32()))],
@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = pa.list_(pa.struct([("index", pa.int32()), ("score", pa.float64()), ("text", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores, n, offending = [], [], []
             for t in batch.column(1).to_pylist():
                 own = model.sentence_scores(t or "")
