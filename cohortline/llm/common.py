@@ -158,9 +158,11 @@ def tile_hot_keys(rows: DataFrame, key: str, member: str, first: str,
     and no task holds more than about two pieces. Adds ``is_left`` and
     ``is_right``.
     """
-    large = (rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > tile)
-             .select(F.col(key).alias("_hot"), F.ceil(F.col("n") / tile).cast("int").alias("_g")))
+    # Written first, so that the planner knows its size: a short list is broadcast and the rows
+    # are not shuffled for the join.
+    large = stage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") > tile)
+                  .select(F.col(key).alias("_hot"), F.ceil(F.col("n") / tile).cast("int").alias("_g")), "hot")
     dealt = rows.join(large, rows[key] == large["_hot"], "left")
     piece = F.pmod(F.xxhash64(member), F.coalesce("_g", F.lit(1))).cast("int")
     cold = F.array(F.struct(F.lit(0).alias("ti"), F.lit(0).alias("tj"),
