@@ -7,11 +7,21 @@ goes next. For weights that add up to one this meets every window (Baruah et
 al. 1996), so after any number of slots no source is a whole block away from
 its target share.
 
-Weights are multiples of 1 / ``SLOTS``, so the schedule repeats every SLOTS
-slots. One period is computed once as a list of SLOTS choices (a SQL
-``aggregate`` over the slots; its size does not depend on the data). A
-document then needs only its rank in its source: block b runs in period
-b div (w * SLOTS), at the slot of that source's (b mod (w * SLOTS))-th turn.
+With ``slots`` given (``op8_pfair_mix``, as its SQL defines it) weights are
+rounded to turns of a period of that many slots. One period is computed once as
+a list of choices (a SQL ``aggregate`` over the slots; its size does not depend
+on the data). A document then needs only its rank in its source: block b runs in period
+b div (w * slots), at the slot of that source's (b mod (w * slots))-th turn.
+The bound holds for the rounded weights; a source's share is off by up to
+(1 - n * w) / slots of the mix for n sources.
+
+Without ``slots`` (the pipeline) the weights
+are taken as they are, for any number of sources (:func:`paths`): the sources are the leaves of
+a binary tree, and every node deals its turns to its two children so that the
+left one has had round(k * left / node) of the first k. An
+error of half a turn at a node shrinks on the way down with the child's part of
+it, so a source's distance from its target does not grow with the mix. Slot and
+turn follow from each other by integer divisions along the path.
 
 Everything is DataFrame expressions and SQL functions.
 """
@@ -23,8 +33,12 @@ from pyspark.sql import functions as F
 
 from cohortline.llm.common import fresh, stage
 
-#: Resolution of the target weights, and slots in one period.
+#: Slots in one period of ``op8_pfair_mix``, and the resolution of its weights.
 SLOTS = 1024
+#: The weights add up to about two to this power where they are not rounded to turns.
+WEIGHT_BITS = 56
+#: Up to this many sources their paths are broadcast; more are joined by a shuffle.
+BROADCAST_SOURCES = 20_000
 #: Documents in a block.
 BLOCK_ROWS = 8
 #: Default targets: a source's share of the documents to this power, normalised.
@@ -45,8 +59,7 @@ def quotas(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     Weights need not be normalised. Every source with a positive weight gets
     one turn at least; the other turns go by the weights, remainders first,
     ties by source name. Null or non-positive weights get no turn. The number
-    of sources is bounded by ``slots`` (checked in :func:`period`), so the one-partition window
-    here is over a bounded list.
+    of sources is bounded by ``slots`` (checked in :func:`period`), so the one-partition window here is over a bounded list.
     """
     total = Window.partitionBy(F.lit(1))
     order = total.orderBy(F.col("rest").desc(), F.col("source").asc_nulls_first())
@@ -97,6 +110,54 @@ def period(turns: DataFrame, slots: int = SLOTS) -> DataFrame:
                     F.col("slot").cast("long").alias("slot")))
 
 
+def paths(weights: DataFrame) -> DataFrame:
+    """``path`` and other columns of ``weights(source, weight)``: each source's way from its
+    leaf to the root, ``(a, t, right)`` per node: the weights of the child and of the node, and
+    whether the child is the right one.
+
+    The tree is that of the Gilbert-Moore code: the sources lie on a line by
+    falling weight, and the binary digits of a source's middle, as many as keep it
+    apart from its neighbours, lead to its leaf. Weights need not be normalised; they become whole
+    numbers of about WEIGHT_BITS bits together, at least 1. Null or non-positive
+    weights are left out.
+    """
+    every = Window.partitionBy(F.lit(1))
+    kept = [c for c in weights.columns if c not in ("source", "weight")]
+    share = F.col("weight").cast("double") / F.sum(F.col("weight").cast("double")).over(every)
+    whole = (weights.where("weight > 0")
+             .withColumn("w", F.greatest(F.lit(1), F.round(share * 2.0 ** WEIGHT_BITS).cast("long"))))
+    line = whole.withColumn("all", F.sum("w").over(every)).withColumn(
+        "cum", F.sum("w").over(every.orderBy(F.col("w").desc(), F.col("source").asc_nulls_first())
+                               .rowsBetween(Window.unboundedPreceding, 0)))
+    coded = line.withColumn("code", F.expr(
+        f"cast(2 * cum - w as decimal(20, 0)) * cast({2 ** 61} as decimal(19, 0)) div cast(all as decimal(20, 0))"))
+    deep = coded.withColumn("d", F.expr("explode(sequence(0, cast(ceil(log2(all / w) + 1e-9) as int) + 1))"))
+    steps = deep.withColumn("p", F.expr("shiftright(code, 62 - d)"))
+    nodes = steps.groupBy(F.col("d").alias("nd"), F.col("p").alias("np")).agg(F.sum("w").alias("a"))
+    whole_path = (steps.join(nodes, F.expr("d = nd and p = np"))
+                  .groupBy("source").agg(*(F.first(c).alias(c) for c in kept),
+                                         F.array_sort(F.collect_list(F.expr("struct(-d as up, a, p % 2 = 1 as right)"))).alias("s")))
+    return whole_path.select("source", *kept, F.expr(
+        "filter(transform(sequence(0, size(s) - 2), i -> named_struct('a', s[i].a, 't', s[i + 1].a, 'right', s[i].right)), "
+        "x -> x.a < x.t)").alias("path"))
+
+
+def slot_of(block: str) -> str:
+    """SQL: the slot of a source's block, up its ``path``."""
+    odd = "cast(2 * k + 1 as decimal(20, 0)) * cast(x.t as decimal(18, 0))"
+    twice = "cast(2 * x.a as decimal(19, 0))"
+    return (f"aggregate(path, cast({block} as bigint), (k, x) -> if(x.right, {odd} div {twice}, "
+            f"({odd} + {twice} - 1) div {twice} - 1))")
+
+
+def blocks_by(slot: str) -> str:
+    """SQL: a source's blocks in the first ``slot`` slots, down its ``path``."""
+    left = ("(cast(2 * k as decimal(20, 0)) * cast({} as decimal(18, 0)) + cast(x.t as decimal(18, 0))) "
+            "div cast(2 * x.t as decimal(19, 0))")
+    return (f"aggregate(reverse(path), cast({slot} as bigint), (k, x) -> if(x.right, k - {left.format('x.t - x.a')}, "
+            f"{left.format('x.a')}))")
+
+
 def ranked(rows: DataFrame) -> DataFrame:
     """``rows(row, source, id)`` plus ``rank`` (from 0 in its source, in the order of the
     md5 of the id) and ``n`` (the source's documents).
@@ -124,9 +185,12 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "source", id_col: str = "doc_id",
-        block_rows: int = BLOCK_ROWS, slots: int = SLOTS) -> DataFrame:
+        block_rows: int = BLOCK_ROWS, slots: int | None = None) -> DataFrame:
     """``docs`` repeated and placed to the target weights.
 
+    With ``slots`` the weights are rounded to turns of a period of that many
+    slots; otherwise they are taken as they are.
+
     Adds ``source_block``, ``slot`` (of the block, from 0), ``epoch`` and ``position`` (of
     the document, ascending along the mix); where ``docs`` has a column of that
     name, underscores are added to the new one's. The mix is just long enough
@@ -143,8 +207,40 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
     weights = target_weights(docs, source_col) if weights is None else weights
     named = (weights.groupBy("source").agg(F.sum("weight").alias("weight"))
              .join(present, F.col("source").eqNullSafe(F.col("present"))).select("source", "weight", "docs"))
-    # Both staged tables have at most `slots` rows (period() raises beyond that).
-    turns = stage(quotas(named, slots), "turns")
+    sources = stage(named.where("weight > 0"), "sources")
+    many = sources.count()
+    if slots is None:
+        placed = _unrounded(rows, sources, many, block_rows)
+    else:
+        placed = _in_periods(rows, sources, block_rows, slots)
+    placed = placed.withColumn("position", F.expr(f"slot * {block_rows} + i % {block_rows}"))
+    new = [F.col(c).alias(fresh(c, docs.columns)) for c in ("source_block", "slot", "epoch", "position")]
+    return placed.select("row.*", *new)
+
+
+def _epochs(placed: DataFrame, length: str, block_rows: int) -> DataFrame:
+    """Adds ``epoch``, ``i`` (place among the source's repeated documents) and ``source_block``."""
+    return (placed.withColumn("epoch", F.expr(f"explode(if(rank < {length}, "
+                                              f"sequence(0L, ({length} - 1 - rank) div n), null))"))
+            .withColumn("i", F.expr("epoch * n + rank")).withColumn("source_block", F.expr(f"i div {block_rows}")))
+
+
+def _unrounded(rows: DataFrame, sources: DataFrame, many: int, block_rows: int) -> DataFrame:
+    """The repeated rows with their slots, by the weights as they are."""
+    ways = stage(paths(sources), "paths")
+    # The mix ends with the slot in which the last source has shown all its documents.
+    fin = ways.agg(F.max(F.expr(slot_of(f"(docs - 1) div {block_rows}")))).first()[0]
+    have = ways.select(F.col("source").alias("turns_source"), "path",
+                       F.expr(f"{blocks_by('0L' if fin is None else f'{fin + 1}L')} * {block_rows}").alias("length"))
+    have = F.broadcast(have) if many <= BROADCAST_SOURCES else have
+    placed = ranked(rows).join(have, F.col("source").eqNullSafe(F.col("turns_source")))
+    return _epochs(placed, "length", block_rows).withColumn("slot", F.expr(slot_of("source_block")))
+
+
+def _in_periods(rows: DataFrame, sources: DataFrame, block_rows: int, slots: int) -> DataFrame:
+    """The repeated rows with their slots, by the turns of a period."""
+    # Both staged tables have at most `slots` rows.
+    turns = stage(quotas(sources, slots), "turns")
     plan = stage(period(turns.select("source", "turns"), slots), "period")
     order = plan.select(F.col("source").alias("plan_source"), F.col("turn").alias("plan_turn"),
                         F.col("slot").alias("plan_slot"))
@@ -156,21 +252,19 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
                        .alias("fin"))
     placed = ranked(rows).join(F.broadcast(have), F.col("source").eqNullSafe(F.col("turns_source")))
     length = f"((fin + {slots - 1}) div {slots}) * turns * {block_rows}"
-    placed = (placed.withColumn("epoch", F.expr(f"explode(if(rank < {length}, "
-                                                f"sequence(0L, ({length} - 1 - rank) div n), null))"))
-              .withColumn("i", F.expr("epoch * n + rank")).withColumn("source_block", F.expr(f"i div {block_rows}")))
+    placed = _epochs(placed, length, block_rows)
     placed = placed.join(F.broadcast(order), F.col("source").eqNullSafe(F.col("plan_source"))
                          & (F.expr("source_block % turns") == F.col("plan_turn")))
-    placed = placed.withColumn("slot", F.expr(f"(source_block div turns) * {slots} + plan_slot")).where("slot < fin")
-    placed = placed.withColumn("position", F.expr(f"slot * {block_rows} + i % {block_rows}"))
-    new = [F.col(c).alias(fresh(c, docs.columns)) for c in ("source_block", "slot", "epoch", "position")]
-    return placed.select("row.*", *new)
+    return placed.withColumn("slot", F.expr(f"(source_block div turns) * {slots} + plan_slot")).where("slot < fin")
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` mixed to the default target weights: one row per document and epoch."""
+    """``documents`` mixed to the default target weights: one row per document and epoch.
+
+    In periods of SLOTS slots, as the SQL below.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "n_chars")
-    return mix(docs).select("doc_id", "source", "source_block", "slot", "epoch", "position")
+    return mix(docs, slots=SLOTS).select("doc_id", "source", "source_block", "slot", "epoch", "position")
 
 
 #: The same mix in DuckDB SQL, from the definitions of release time and deadline.

@@ -79,3 +79,32 @@ def test_query_matches_sql(spark):
 def test_native_plan(spark):
     plan = mix(spark.range(9).selectExpr("id as doc_id", "'a' as source"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def deviation(out, share):
+    """The farthest any source is from its unrounded share, in blocks, over the whole mix."""
+    blocks = {r.slot: r.source for r in out}
+    assert sorted(blocks) == list(range(len(blocks)))
+    seen, most = Counter(), 0
+    for t in range(len(blocks)):
+        seen[blocks[t]] += 1
+        most = max(most, *(abs(seen[s] - share[s] * (t + 1)) for s in share))
+    return most
+
+
+@pytest.mark.parametrize("others", [4, 19, 99])
+def test_shares_are_those_of_the_unrounded_weights(spark, others):
+    share = {"hot": 1 / 3, **{f"s{i}": 2 / 3 / others for i in range(others)}}
+    df = spark.sql(f"select id as doc_id, if(id < 3000, 'hot', concat('s', id % {others})) as source from range({3000 + others})")
+    out = mix(df, spark.createDataFrame(list(share.items()), "source string, weight double"), block_rows=1).collect()
+    assert {r.doc_id for r in out} == set(range(3000 + others)) and len(out) > 8000
+    assert deviation(out, share) < 1.5
+
+
+def test_uneven_weights_without_rounding(spark):
+    weight = {f"s{i}": 1.37 ** -(i % 23) * (1 + i / 7) for i in range(60)}
+    total = sum(weight.values())
+    df = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 60) as source")
+    out = mix(df, spark.createDataFrame(list(weight.items()), "source string, weight double"), block_rows=4).collect()
+    assert len({r.position for r in out}) == len(out)
+    assert deviation(out, {s: w / total for s, w in weight.items()}) < 2
