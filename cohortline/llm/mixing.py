@@ -15,7 +15,7 @@ b div (w * slots), at the slot of that source's (b mod (w * slots))-th turn.
 The bound holds for the rounded weights; a source's share is off by up to
 (1 - n * w) / slots of the mix for n sources.
 
-Without ``slots`` (the pipeline) the weights
+Without ``slots`` (the pipeline), or with more sources than slots, the weights
 are taken as they are, for any number of sources (:func:`paths`): the sources are the leaves of
 a binary tree, and every node deals its turns to its two children so that the
 left one has had round(k * left / node) of the first k. An
@@ -59,7 +59,8 @@ def quotas(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     Weights need not be normalised. Every source with a positive weight gets
     one turn at least; the other turns go by the weights, remainders first,
     ties by source name. Null or non-positive weights get no turn. The number
-    of sources is bounded by ``slots`` (checked in :func:`period`), so the one-partition window here is over a bounded list.
+    of sources is bounded by ``slots`` (:func:`mix` uses :func:`paths` beyond that, :func:`period`
+    checks it), so the one-partition window here is over a bounded list.
     """
     total = Window.partitionBy(F.lit(1))
     order = total.orderBy(F.col("rest").desc(), F.col("source").asc_nulls_first())
@@ -85,7 +86,7 @@ def period(turns: DataFrame, slots: int = SLOTS) -> DataFrame:
     """
     listed = turns.agg(F.array_sort(F.collect_list(F.struct(F.col("source").alias("s"), F.col("turns").alias("w"))))
                        .alias("w"))
-    checked = listed.withColumn("w", F.when((F.size("w") == 0) | (F.expr("aggregate(w, 0, (a, x) -> a + x.w)") == slots),
+    checked = listed.withColumn("w", F.when((F.size("w") == 0) | F.expr(f"aggregate(w, 0, (a, x) -> a + x.w) = {slots} and forall(w, x -> x.w > 0)"),
                                             F.col("w")).otherwise(
         F.raise_error(F.lit(f"more sources than the {slots} slots of a period"))))
     # State: turns had so far by source, and the sources chosen. Deadlines are
@@ -189,7 +190,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
     """``docs`` repeated and placed to the target weights.
 
     With ``slots`` the weights are rounded to turns of a period of that many
-    slots; otherwise they are taken as they are.
+    slots, unless there are more sources than that; otherwise they are taken as they are.
 
     Adds ``source_block``, ``slot`` (of the block, from 0), ``epoch`` and ``position`` (of
     the document, ascending along the mix); where ``docs`` has a column of that
@@ -209,7 +210,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
              .join(present, F.col("source").eqNullSafe(F.col("present"))).select("source", "weight", "docs"))
     sources = stage(named.where("weight > 0"), "sources")
     many = sources.count()
-    if slots is None:
+    if slots is None or many > slots:
         placed = _unrounded(rows, sources, many, block_rows)
     else:
         placed = _in_periods(rows, sources, block_rows, slots)
@@ -261,7 +262,7 @@ def _in_periods(rows: DataFrame, sources: DataFrame, block_rows: int, slots: int
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` mixed to the default target weights: one row per document and epoch.
 
-    In periods of SLOTS slots, as the SQL below.
+    In periods of SLOTS slots, as the SQL below; with more sources than that by :func:`paths`.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "n_chars")
     return mix(docs, slots=SLOTS).select("doc_id", "source", "source_block", "slot", "epoch", "position")

@@ -108,3 +108,19 @@ def test_uneven_weights_without_rounding(spark):
     out = mix(df, spark.createDataFrame(list(weight.items()), "source string, weight double"), block_rows=4).collect()
     assert len({r.position for r in out}) == len(out)
     assert deviation(out, {s: w / total for s, w in weight.items()}) < 2
+
+
+def test_more_sources_than_slots(spark):
+    from cohortline.llm.mixing import SLOTS
+
+    df = spark.range(9000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 3001)) as source")
+    n = Counter(r.source for r in df.collect())
+    weight = {s: c ** .7 for s, c in n.items()}
+    total = sum(weight.values())
+    assert len(n) > 3000
+    for slots in (SLOTS, None):
+        out = mix(df, slots=slots).collect()
+        assert {r.doc_id for r in out if r.epoch == 0} == set(range(9000))
+        blocks = Counter(s for _, s in {(r.slot, r.source) for r in out})
+        assert sum(blocks.values()) == max(r.slot for r in out) + 1
+        assert all(abs(blocks[s] - weight[s] / total * sum(blocks.values())) < 2 for s in n)
