@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from math import log
@@ -30,14 +31,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortline.llm.common import fresh, slices
 
-#: Pages of the classifier's training sample, about (those with a low hash of their address).
+#: Different pages of the classifier's training sample, about (those with a low hash of their html).
 TRAIN_PAGES = 2000
 #: Weight of the edge between neighbours with the same parent; less with more DOM steps between.
 NEIGHBOUR = 0.8
 #: Weight of the edge to the next block of the same parent element.
 SIBLING = 1.0
 
-DROPPED = frozenset("script style noscript template textarea svg iframe object title canvas math".split())
+#: Elements whose content is read as raw text up to their end tag, or to the end of the page.
+RAW = frozenset("script style noscript textarea iframe title".split())
+#: Elements whose content is not shown; they end by nesting.
+UNSEEN = frozenset("svg canvas template annotation annotation-xml".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section
     select button label summary table tbody tfoot thead tr ul option""".split())
@@ -59,6 +63,8 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)
     |<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|\Z)""", re.S | re.X)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I | re.S)
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>]|$)[^>]*>?", re.I) for name in RAW}
+_UNSEEN = re.compile(f"<(?:{'|'.join(sorted(UNSEEN))})(?=[\\s/>])", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _ENDS = re.compile(r"[.!?:;,](?=\s|$)")
@@ -131,10 +137,67 @@ class Block:
         self.text, self.element, self.linked, self.size = text, element, linked, size
 
 
+def after_raw(page: str, name: str, at: int) -> int:
+    """Where the content of a raw-text element that starts at ``at`` is over, end tag included."""
+    close = _RAW_END[name].search(page, at)
+    return close.end() if close else len(page)
+
+
+def unseen(page: str) -> dict[int, int]:
+    """Where the content of UNSEEN elements begins, and where the page goes on.
+
+    Elements are matched by nesting. An svg without an end tag ends where its parent does, or at
+    a block of the page; others left open hide nothing.
+    """
+    over: dict[int, int] = {}
+    if not _UNSEEN.search(page):
+        return over
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+
+    def pop(closing: str, at: int, end: int) -> None:
+        while True:
+            name, begin = stack.pop()
+            opened[name] -= 1
+            if name == closing:
+                if name in UNSEEN:
+                    over[begin] = end
+                return
+            if name == "svg":
+                over[begin] = at
+
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        if not name:
+            continue
+        if m["end"] or m["end2"]:
+            if opened[name]:
+                pop(name, m.start(), at)
+            continue
+        foreign = opened["svg"] > opened["foreignobject"]
+        if foreign and name in BLOCK:
+            while opened["svg"] > opened["foreignobject"]:
+                pop("svg", m.start(), m.start())
+            foreign = False
+        if name in VOID or (m["attrs"] or m["attrs2"] or "").endswith("/") and (foreign or name in ("svg", "math")):
+            continue
+        if name in RAW and not foreign:
+            at = after_raw(page, name, at)
+        else:
+            stack.append((name, at))
+            opened[name] += 1
+    while opened["svg"]:
+        pop("svg", len(page), len(page))
+    return over
+
+
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page, in page order; scripts, styles and comments
+    """The text blocks of a page, in page order; scripts, styles, drawings and comments
     never become blocks. An unfinished tag at the end of the page is dropped."""
     at, end = 0, len(page)
+    over = unseen(page)
     here = Element("html", "", None)
     out: list[Block] = []
     held: list[str] = []
@@ -178,9 +241,10 @@ def blocks(page: str) -> list[Block]:
             elif name in SPACE:
                 held.append(" ")
             continue
-        if name in DROPPED:
-            close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|$)[^>]*>?", re.I).search(page, at)
-            at = close.end() if close else end
+        if name in RAW:
+            at = after_raw(page, name, at)
+        elif name in UNSEEN:
+            at = over.get(at, at)
         elif name == "a":
             link = 1
         elif name in SPACE:

@@ -75,3 +75,19 @@ def test_pages(spark):
     assert text[900] == text[901] == text[902] == ""
     assert text[903] == ("long words here, again. " * 40000).strip()
     assert extract(df.limit(0)).collect() == []
+
+
+def test_elements_that_end_by_nesting():
+    text = lambda page: [b.text for b in blocks(page)]
+    assert text('<p>a <svg class=i /> b</p><p>c</p>') == ["a b", "c"]
+    assert text('<p>a <svg><title>Icon</title><g><svg/><text>t</text></g></svg>b</p>') == ["a b"]
+    assert text('<p>a <svg><path d=1></p><p>b</p>') == ["a", "b"]
+    assert text('<p>a <svg><text>t<div>b</div>') == ["a", "b"]
+    assert text('<svg><foreignObject><p>x</p></foreignObject></svg><p>b</p>') == ["b"]
+    assert text('<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <math/> so</p>') == ["if x=1 and so"]
+    assert text('<p>a</p><object data=f><p>shown instead</p></object><p>b</p>') == ["a", "shown instead", "b"]
+    for name in ("object", "canvas", "template", "svg", "math"):
+        assert text(f"<div>a<{name}></div><p>b</p><p>c</p>") == ["a", "b", "c"], name
+    assert text("<canvas><p>x</p><canvas>y</canvas>z</canvas><template><p>t</p></template><p>b</p>") == ["b"]
+    assert text("<canvas><p>b</p>") == ["b"]
+    assert text("<p>a</p><textarea><p>x</p>") == ["a"]
