@@ -77,6 +77,19 @@ def test_pages(spark):
     assert extract(df.limit(0)).collect() == []
 
 
+def test_whole_blocks_and_whole_pages_count(spark, monkeypatch):
+    from cohortline.llm import html_extract
+
+    at = html_extract.FEATURES.index("ends")
+    long = "word " * 600 + "end. " * 600
+    assert abs(html_extract.features(blocks(f"<p>{long}</p>"))[0, at] - .5) < .01
+    seen = []
+    monkeypatch.setattr(html_extract, "train", lambda x: seen.append(x))
+    page = "<article>" + "<p>text</p>" * 450 + "</article>" + "<footer><p>foot</p></footer>" * 50
+    html_extract.fit(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))
+    assert len(seen[0]) == 500 and seen[0][:, 1].sum() == 50 and seen[0][:, html_extract.FEATURES.index("last")].sum() == 1
+
+
 def test_elements_that_end_by_nesting():
     text = lambda page: [b.text for b in blocks(page)]
     assert text('<p>a <svg class=i /> b</p><p>c</p>') == ["a b", "c"]
