@@ -396,6 +396,9 @@ def label(found: list[Block], p: np.ndarray) -> list[bool]:
 def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample: int = TRAIN_PAGES) -> np.ndarray:
     """Train the classifier on about ``sample`` pages, on all their blocks whose markup names
     their kind (:func:`train` uses no others): 44 bytes a block come to the driver.
+
+    Pages are chosen by a hash of their html, each different html once, so neither copies nor
+    null or repeated addresses (``url_col`` is not looked at) bring more than one page.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,9 +407,9 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample:
             flat = np.vstack(rows).astype("<f4").tobytes() if rows else b""
             yield pa.RecordBatch.from_arrays([pa.array([flat], pa.binary())], names=["x"])
 
-    share = int(1e6 * min(1.0, sample / max(pages.count(), 1)))
-    some = (pages.select(F.col(html_col).cast("string").alias("h"), F.xxhash64(F.col(url_col)).alias("k"))
-            .where(F.pmod("k", F.lit(1_000_000)) < share))
+    texts = pages.select(F.col(html_col).cast("string").alias("h")).where("h is not null").withColumn("k", F.xxhash64("h"))
+    share = int(1e15 * min(1.0, sample / max(texts.select("k").distinct().count(), 1)))
+    some = texts.where(F.pmod("k", F.lit(10 ** 15)) < share).select("h").distinct()
     got = some.select("h").mapInArrow(run, "x binary").collect()
     x = np.frombuffer(b"".join(bytes(r.x) for r in got), "<f4").reshape(-1, len(FEATURES)).astype(float)
     return train(x)

@@ -77,6 +77,18 @@ def test_pages(spark):
     assert extract(df.limit(0)).collect() == []
 
 
+def test_copies_and_null_addresses_bring_one_page(spark, monkeypatch):
+    from cohortline.llm import html_extract
+
+    seen = []
+    monkeypatch.setattr(html_extract, "train", lambda x: seen.append(len(x)))
+    rows = [(i, None if i % 3 else f"u{i}", f"<nav>menu {i}</nav>") for i in range(900)] + [(i, "u", "<nav>hot</nav>") for i in range(900, 1800)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    html_extract.fit(df, sample=100)
+    html_extract.fit(df, sample=5000)
+    assert 50 < seen[0] < 160 and seen[1] == 901
+
+
 def test_whole_blocks_and_whole_pages_count(spark, monkeypatch):
     from cohortline.llm import html_extract
 
