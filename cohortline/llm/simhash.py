@@ -119,6 +119,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .mapInArrow(run, "id long, fp long"))
 
 
+def _keyed_fingerprints(keyed: DataFrame, words: int) -> DataFrame:
+    """``(id, h, fp)`` per row of ``keyed(id, h, t)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            fps = np.fromiter((fingerprint((t or "").encode(), words)
+                               for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], names=["id", "h", "fp"])
+
+    return keyed.select("id", "h", "t").mapInArrow(run, "id long, h long, fp long")
+
+
 def replicas(distinct: DataFrame, parts: tuple[Part, ...] = PARTS) -> DataFrame:
     """``(anchor, fp, rep, home)``: each fingerprint at all anchors it reaches."""
 
@@ -203,16 +215,30 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
              max_bits: int = MAX_BITS, parts: tuple[Part, ...] = PARTS) -> DataFrame:
     """The row with the smallest id of every near-duplicate class, columns unchanged.
 
-    Of rows that share that id the one with the smallest text stays. Rows with a
-    null id stay, as nothing names them.
+    Classes are those of the rows' fingerprints, whatever their ids: rows that share an id but
+    not a class are judged apart. Of a class's rows with the smallest id the one whose text has the
+    smallest XXH64 stays, and of equal texts the first by the other columns. Of the rows without an id one of
+    each class stays as well, chosen likewise.
     """
-    found = near_duplicates(docs, id_col, text_col, words, max_bits, parts)
-    keep = found.where("id = component_id").select(F.col("id").alias("keep")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    first = Window.partitionBy("id").orderBy(F.col("t").asc_nulls_first())
-    once = (rows.join(keep, F.col("id") == F.col("keep"), "left_semi")
-            .withColumn("k", F.row_number().over(first)).where("k = 1"))
-    return once.select("row.*").union(docs.where(F.col(id_col).isNull()))
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+                        F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
+    fps = stage(_keyed_fingerprints(keyed, words), "fingerprints")
+    best = stage(fps.groupBy("fp", F.col("id").isNull().alias("nameless")).agg(F.min(F.struct("id", "h")).alias("best")), "best")
+    distinct = stage(best.select("fp").distinct().withColumn("rep", F.col("fp")), "distinct")
+    label = connected_components(links(distinct, max_bits, parts), "simhash").select(F.col("id").alias("linked"), "component_id")
+    keep = (best.join(label, best["fp"] == label["linked"], "left")
+            .groupBy(F.coalesce("component_id", "fp").alias("class"), "nameless").agg(F.min("best").alias("best"))
+            .select(F.col("best.id").alias("keep"), F.col("best.h").alias("keep_h")).distinct())
+    ties = [F.col("row").getField(f.name) for f in docs.schema.fields
+            if "map" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    first = F.row_number().over(Window.partitionBy("id", "h").orderBy(*ties))
+    named = (keyed.where("id is not null")
+             .join(keep, (F.col("id") == F.col("keep")) & (F.col("h") == F.col("keep_h")), "left_semi")
+             .withColumn("k", first).where("k = 1"))
+    # Any number of copies may lack an id: they are one row a task before they are dealt.
+    nameless = (keyed.where("id is null").withColumn("k", first).where("k = 1")
+                .join(keep.where("keep is null"), F.col("h") == F.col("keep_h"), "left_semi"))
+    return named.select("row.*").union(nameless.select("row.*"))
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -79,6 +79,15 @@ def test_repeated_and_null_ids(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def test_rows_are_kept_by_class_not_by_id(spark):
+    near = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(3, near, "x", 1), (3, "quite another text about nothing at all", "x", 1), (3, near, "x", 0),
+                                (9, "a third text that nobody else has written", "x", 1), (9, near.upper(), "x", 1)]
+                               + [(None, "zz top of the hill", "x", 1)] * 50 + [(None, "ZZ top of the hill", "x", 1)], SCHEMA)
+    got = [(r.doc_id, (r.text or "").split()[0].lower(), r[3]) for r in keep_one(df).collect()]
+    assert sorted(got, key=str) == sorted([(3, "one", 0), (3, "quite", 1), (9, "a", 1), (None, "zz", 1)], key=str)
+
+
 def test_hot_keys_are_tiled_without_losing_a_pair(spark):
     rows = spark.createDataFrame([(1, i, i % 3 == 0) for i in range(50)] + [(2, 99, True)], "k long, m long, home boolean")
     tiles = tile_hot_keys(rows, "k", "m", "home", tile=8).collect()
