@@ -7,8 +7,9 @@ combined by noisy-or: a document is toxic unless every sentence is harmless
 document labels trains the sentence weights, so the sentences that are to blame
 are found without ever being labelled.
 
-Word statistics are counted over all labelled rows; the weights are fitted on a
-bounded sample of them (``SAMPLE_DOCS`` of either label).
+Word statistics are counted over all different labelled texts, and every feature
+that tells significantly about the label carries a weight; the weights are fitted on a
+bounded sample of the rows (``SAMPLE_DOCS`` of either label).
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from cohortline.llm.common import slices, stage
 
 #: Labelled documents of either label that the weights are fitted on, about.
 SAMPLE_DOCS = 8000
-#: Words that carry a weight: those that tell most about the label.
-VOCABULARY = 1000
+#: Least log likelihood ratio (half of G²) of a feature with a weight: by chance one in twenty has it.
+SIGNIFICANT = 1.92
 #: Different texts a word must occur in to carry a weight.
 MIN_TEXTS = 8
 #: Labels up to this many rows (16 bytes each) are broadcast; more are joined by a shuffle.
@@ -89,6 +90,19 @@ class Model:
         return float(-np.expm1(harmless))
 
 
+def text_keys() -> list[Column]:
+    """What the copies of a text ``t`` share."""
+    return [F.xxhash64("t").alias("k"), F.md5("t").alias("m")]
+
+
+def text_totals(rows: DataFrame) -> tuple[int, int]:
+    """The different texts of ``rows`` (``t``, ``y``) that are toxic, and that are not, as
+    :func:`word_counts` counts them."""
+    once = rows.groupBy(*text_keys()).agg(F.max("y").alias("y"))
+    n = {r.y: r.n for r in once.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return n.get(1, 0), n.get(0, 0)
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """``(word, pos, neg)``: the different texts of each label with the feature.
 
@@ -112,22 +126,25 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 held = (Counter(), Counter())
         yield out()
 
-    once = rows.groupBy(F.xxhash64("t").alias("k"), F.md5("t").alias("m")).agg(F.max(F.struct("y", "t")).alias("r")) \
+    once = rows.groupBy(*text_keys()).agg(F.max(F.struct("y", "t")).alias("r")) \
         .select("r.t", "r.y")
     return (once.mapInArrow(run, "word string, pos long, neg long")
             .groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
 
 
-def choose_words(counts: DataFrame, n_pos: int, n_neg: int, size: int = VOCABULARY, least: int = MIN_TEXTS
+def choose_words(counts: DataFrame, n_pos: int, n_neg: int, significant: float = SIGNIFICANT, least: int = MIN_TEXTS
                  ) -> list[str]:
-    """The ``size`` words that tell most about the label (likelihood ratio G²)."""
+    """All words that tell about the label with a log likelihood ratio of ``significant``.
+
+    ``n_pos`` and ``n_neg`` are the texts behind ``counts``, as :func:`text_totals` gives them.
+    """
     total, share = n_pos + n_neg, n_pos / (n_pos + n_neg)
     cells = [("pos", f"(pos + neg) * {share!r}D"), ("neg", f"(pos + neg) * {1 - share!r}D"),
              (f"({n_pos} - pos)", f"({total} - pos - neg) * {share!r}D"),
              (f"({n_neg} - neg)", f"({total} - pos - neg) * {1 - share!r}D")]
     g = F.expr(" + ".join(f"if({o} <= 0, 0D, {o} * ln({o} / ({e})))" for o, e in cells))
-    top = counts.where(f"pos + neg >= {least}").select("word", g.alias("g")).orderBy(F.desc("g"), "word").limit(size)
-    return [r.word for r in top.collect()]
+    told = counts.where(f"pos + neg >= {least}").select("word", g.alias("g")).where(F.col("g") >= significant)
+    return sorted(r.word for r in told.select("word").collect())
 
 
 def bag(text: str, place: dict[str, int]) -> tuple[int, list[int]]:
@@ -142,17 +159,17 @@ def bag(text: str, place: dict[str, int]) -> tuple[int, list[int]]:
 
 
 def bags(rows: DataFrame, words: list[str]) -> DataFrame:
-    """``(y, n, at)`` per row, as :func:`bag` gives them."""
+    """``(y, n, at)`` per row, as :func:`bag` gives them; ``at`` as the bytes of its 64-bit numbers."""
     place = {w: i for i, w in enumerate(words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             got = [bag(t, place) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([g[0] for g in got], pa.int32()),
-                                              pa.array([g[1] for g in got], pa.list_(pa.int32()))],
+                                              pa.array([np.array(g[1], "<i8").tobytes() for g in got], pa.binary())],
                                              names=["y", "n", "at"])
 
-    return rows.select("t", "y").mapInArrow(run, "y int, n int, at array<int>")
+    return rows.select("t", "y").mapInArrow(run, "y int, n int, at binary")
 
 
 def fit_bags(y: np.ndarray, empty: np.ndarray, at: list[np.ndarray], doc_weight: np.ndarray, size: int,
@@ -190,7 +207,7 @@ def fit_bags(y: np.ndarray, empty: np.ndarray, at: list[np.ndarray], doc_weight:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = SAMPLE_DOCS, vocabulary: int = VOCABULARY) -> Model:
+          label_col: str = "toxic", sample: int = SAMPLE_DOCS, significant: float = SIGNIFICANT) -> Model:
     """Fit the model to the labelled rows of ``docs``.
 
     Rows without a label, or with a null label or id, teach nothing; an id with
@@ -204,16 +221,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = stage(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
                  .join(marks, "_id").select("_id", "t", "y"), "labelled")
     totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_pos, n_neg = totals.get(1, 0), totals.get(0, 0)
-    if not n_pos or not n_neg:
-        return Model({}, -60.0, 30.0 if n_pos else -30.0)
-    words = choose_words(word_counts(rows), n_pos, n_neg, vocabulary)
+    if not totals.get(1) or not totals.get(0):
+        return Model({}, -60.0, 30.0 if totals.get(1) else -30.0)
+    n_pos, n_neg = text_totals(rows)
+    words = choose_words(word_counts(rows), n_pos, n_neg, significant) if n_pos and n_neg else []
     part = {y: min(1.0, sample / totals[y]) for y in (0, 1)}
     place = F.pmod(F.xxhash64("_id", "t"), F.lit(1_000_000))
     some = rows.where(((F.col("y") == 1) & (place < int(part[1] * 1e6))) | ((F.col("y") == 0) & (place < int(part[0] * 1e6))))
     got = bags(some, words).collect()
     y = np.array([r.y for r in got])
-    at = [np.array(r.at, np.int64) for r in got]
+    at = [np.frombuffer(bytes(r.at), "<i8") for r in got]
     weight = np.where(y > 0, 1 / part[1], 1 / part[0])
     w, bias, leak = fit_bags(y, np.array([r.n for r in got]), at, weight, len(words))
     return Model({word: float(x) for word, x in zip(words, w) if x}, bias, leak)

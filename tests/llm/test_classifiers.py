@@ -45,6 +45,17 @@ def test_toxicity_on_held_out_documents(spark):
     assert 0 <= min(r.score for x in got.values() for r in x) and max(r.score for x in got.values() for r in x) <= 1
 
 
+def test_every_telling_feature_has_a_weight_and_copies_count_once(spark, monkeypatch):
+    counts = spark.range(3000).selectExpr("concat('w', id) as word", "if(id < 1500, 12L, 30L) as pos", "if(id < 1500, 0L, 90L) as neg")
+    assert sorted(toxicity.choose_words(counts, 250, 750)) == sorted(f"w{i}" for i in range(1500))
+    seen = []
+    monkeypatch.setattr(toxicity, "choose_words", lambda counts, n_pos, n_neg, *rest: seen.append((n_pos, n_neg)) or [])
+    rows = [(i, "copied words") for i in range(60)] + [(i, f"text {i}") for i in range(60, 100)]
+    labels = spark.createDataFrame([(i, int(i < 70)) for i in range(100)], "doc_id long, toxic int")
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert seen == [(11, 30)]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
