@@ -6,6 +6,7 @@ from cohortline.llm.ctw import op2_ctw_score
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
 from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
+from cohortline.llm.minhash import op12_minhash_fingerprints
 from cohortline.llm.mixing import OP8_SQL, op8_pfair_mix
 from cohortline.llm.quality import op9_cotrain_quality
 from cohortline.llm.repeats import op1_runlength_repeats
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_cotrain_quality": op9_cotrain_quality,
     "op10_mincut_extract": op10_mincut_extract,
+    "op12_minhash_fingerprints": op12_minhash_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
