@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cohortline.llm.ctw import op2_ctw_score
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
+from cohortline.llm.divergence import OP11_SQL, op11_segment_tree_audit
 from cohortline.llm.embeddings import op6_hyperplane_neardup
 from cohortline.llm.html_extract import op10_mincut_extract
 from cohortline.llm.minhash import op12_minhash_fingerprints
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_cotrain_quality": op9_cotrain_quality,
     "op10_mincut_extract": op10_mincut_extract,
+    "op11_segment_tree_audit": op11_segment_tree_audit,
     "op12_minhash_fingerprints": op12_minhash_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_pfair_mix": OP8_SQL,
+    "op11_segment_tree_audit": OP11_SQL,
 }
