@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortline.llm.crosstoken import op13_crosstoken_align
 from cohortline.llm.ctw import op2_ctw_score
 from cohortline.llm.decontaminate import op3_pigeonhole_decontaminate
 from cohortline.llm.divergence import OP11_SQL, op11_segment_tree_audit
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_mincut_extract": op10_mincut_extract,
     "op11_segment_tree_audit": op11_segment_tree_audit,
     "op12_minhash_fingerprints": op12_minhash_fingerprints,
+    "op13_crosstoken_align": op13_crosstoken_align,
 }
 
 ORACLE_SQL: dict[str, str] = {
