@@ -162,12 +162,19 @@ def q_report_windows(spark, sf_dir):
 
 
 def q_publish_window(spark, sf_dir):
-    """A stored table after the backfill and a daily window load."""
+    """A stored table after the backfill and a daily window load.
+
+    The rows are those of the table's files (a few per day); the table's entry is dropped again.
+    """
     i = _inputs(spark, sf_dir)
     name = f"policy_orders_{uuid.uuid4().hex}"
     jobs.backfill_policy_orders(i, name, *P.BACKFILL_WINDOW, path=f"{checkpoint_dir(spark)}/tables/{name}")
     jobs.daily_policy_orders(i, name, today=P.DAILY_TODAY)
-    return spark.table(name).drop(jobs.DAY_PARTITION)
+    stored = spark.table(name).drop(jobs.DAY_PARTITION)
+    files = stored.inputFiles()
+    rows = spark.read.schema(stored.schema).parquet(*files) if files else spark.createDataFrame([], stored.schema)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def q_dedup_target(spark, sf_dir):

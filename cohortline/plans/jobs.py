@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.dates import REPORT_ZONE, rolling_days, today_in, until_last_month_end
-from cohortline.operators.load import full_refresh, publish_window
+from cohortline.operators.load import bucket_rows, full_refresh, publish_window, replace_table
 from cohortline.plans import reports as R
 from cohortline.sources.tables import Inputs
 
@@ -37,21 +37,26 @@ def backfill_policy_orders(inputs: Inputs, table: str, lo: dt.date, hi: dt.date,
     one is split at the advisory partition size, so the number of files follows
     the data and not the number of tasks. With ``buckets`` (chosen from the
     table's size) the table is also bucketed by ``pid``, one file per day and
-    bucket, and a join on the policy id shuffles only the other side.
-    ``path`` stores the table's files there instead of in the warehouse.
+    bucket, and a join on the policy id shuffles only the other side (or neither, see
+    :func:`snapshot_policies`). ``path`` names the place of the table's files instead of the warehouse.
+    A backfill that fails leaves the table as it was.
     """
     rows = R.policy_orders(inputs, lo, hi).withColumn(DAY_PARTITION, F.to_date("date_time"))
     if buckets:
-        rows = rows.repartition(DAY_PARTITION, F.pmod(F.hash("pid"), F.lit(buckets)))
+        rows = bucket_rows(rows, buckets, ["pid"], DAY_PARTITION)
     else:
         rows = rows.hint("rebalance", DAY_PARTITION)
-    writer = rows.write.mode("overwrite").partitionBy(DAY_PARTITION).format("parquet")
-    if buckets:
-        writer = writer.bucketBy(buckets, "pid")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return inputs.spark.table(table)
+    return replace_table(rows, table, DAY_PARTITION, buckets, ["pid"], path)
+
+
+def snapshot_policies(inputs: Inputs, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Create or replace ``table`` with the policy master, bucketed by its identifier.
+
+    Joined to policy orders that a backfill stored in as many buckets, neither side is
+    shuffled: pass the returned table as the ``policies`` of the inputs.
+    """
+    rows = bucket_rows(inputs.policies, buckets, ["policy_identifier"])
+    return replace_table(rows, table, None, buckets, ["policy_identifier"], path)
 
 
 def daily_policy_orders(inputs: Inputs, table: str, today: dt.date | None = None,
