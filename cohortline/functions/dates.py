@@ -53,6 +53,16 @@ def until_last_month_end(start: dt.date, today: dt.date) -> tuple[dt.date, dt.da
     return start, last_month_end(today)
 
 
+def month_ends(start: dt.date, end: dt.date) -> list[dt.date]:
+    """The last days of all months that end in ``[start, end]``."""
+    out, month = [], start.replace(day=1)
+    while True:
+        month = (month + dt.timedelta(days=31)).replace(day=1)
+        if month - dt.timedelta(days=1) > end:
+            return out
+        out.append(month - dt.timedelta(days=1))
+
+
 # --- columns ----------------------------------------------------------------
 
 @column_memo

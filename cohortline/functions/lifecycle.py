@@ -84,7 +84,29 @@ def with_lifecycle_flags(df: DataFrame, report_end: dt.date, *, start: str = "st
     return df.withColumns(dict(cols[2:]))
 
 
+def dated_outcomes(start: str = "start_date", end: str = "end_date", renewal: str = "recorded_renewal_date",
+                   cooloff: str = "coolingoff_days") -> list[tuple[str, Column, Column]]:
+    """Per flag of FLAG_COLUMNS: (name, first report day on which it is known, its value from then on).
+
+    A policy's dates settle every flag once and for all: it is null on report days before its day and has
+    one value after. A null day is a flag that never becomes known.
+    """
+    s, e = F.col(start), F.col(end)
+    fr = first_renewal_date(start, renewal)
+    over = plus_days(fr, cooloff)
+
+    def within(days: Column) -> tuple[Column, Column]:
+        return plus_days(s, days), _flag(F.datediff(e, s) <= days)
+
+    out = [("coolingoff_cancelled", *within(F.col(cooloff)))]
+    out += [(f"mtc_{days}d", *within(F.lit(days))) for days in MTC_HORIZONS]
+    settled = F.date_add(over, 1)
+    out.append(("renewed", F.when(e >= fr, settled), _flag(e > over)))
+    out.append(("retained", settled, _flag(e > over)))
+    return out
+
+
 __all__ = [
-    "FLAG_COLUMNS", "MTC_HORIZONS", "cancelled_within", "open_end", "renewed", "retained",
+    "FLAG_COLUMNS", "MTC_HORIZONS", "cancelled_within", "dated_outcomes", "open_end", "renewed", "retained",
     "with_lifecycle_flags",
 ]

@@ -20,7 +20,7 @@ from cohortline.functions.dates import (
 )
 from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, visit_id, visitor_id
 from cohortline.functions.urls import url_host
-from cohortline.operators.cohorts import cohort_counts, cohort_rates
+from cohortline.operators.cohorts import cohort_changes, cohort_counts, cohort_rates, cohort_rates_asof
 from cohortline.operators.dedup import first_hit
 from cohortline.operators.hits import purchase_hits, with_custom_channel, with_default_channel, with_visit
 from cohortline.operators.load import dedup_target, full_refresh
@@ -137,6 +137,25 @@ def q_cohort_rates(spark, sf_dir):
     return cohort_rates(_all_flags(_inputs(spark, sf_dir)), ["product", "start_month"])
 
 
+def q_cohort_rates_asof(spark, sf_dir):
+    """The cohort rates of every month end, from one scan of the policies."""
+    keys = ["product", "start_month"]
+    changes = cohort_changes(policy_base(_inputs(spark, sf_dir).policies), keys)
+    return cohort_rates_asof(changes, keys, P.ASOF_ENDS)
+
+
+def q_retention_monthly_asof(spark, sf_dir):
+    """The scheduled retention report as of every month end."""
+    i = _inputs(spark, sf_dir)
+    return R.retention_monthly_asof(i, R.policy_orders(i, *P.BACKFILL_WINDOW), P.RETENTION_START, P.ASOF_ENDS)
+
+
+def q_dashboard_asof(spark, sf_dir):
+    """The dashboard as of every month end."""
+    i = _inputs(spark, sf_dir)
+    return R.retention_dashboard_asof(i, R.policy_orders(i, *P.BACKFILL_WINDOW), P.RETENTION_START, P.ASOF_ENDS)
+
+
 def q_cohort_counts_by_product(spark, sf_dir):
     return cohort_counts(_all_flags(_inputs(spark, sf_dir)), ["product"])
 
@@ -309,6 +328,9 @@ QUERIES: dict[str, Query] = {
     "lifecycle_flags": q_lifecycle_flags,
     "cohort_rates": q_cohort_rates,
     "cohort_counts_by_product": q_cohort_counts_by_product,
+    "cohort_rates_asof": q_cohort_rates_asof,
+    "retention_monthly_asof": q_retention_monthly_asof,
+    "dashboard_asof": q_dashboard_asof,
     "replace_window": q_replace_window,
     "report_windows": q_report_windows,
     "publish_window": q_publish_window,

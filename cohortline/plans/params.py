@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from cohortline.functions.dates import rolling_days, until_last_month_end, until_yesterday
+from cohortline.functions.dates import month_ends, rolling_days, until_last_month_end, until_yesterday
 
 D = dt.date
 
@@ -37,6 +37,9 @@ MONTHLY_MANUAL_WINDOW = until_yesterday(RETENTION_START, MONTHLY_MANUAL_TODAY)
 # Per-policy lifecycle flags.
 LIFECYCLE_REPORT_END = D(2025, 2, 1)
 
+# Reports as of many days: every month end until all flags of the test policies are known.
+ASOF_ENDS = tuple(month_ends(D(2024, 1, 1), D(2026, 4, 30)))
+
 # The report windows at a fixed instant (already the next day in the report zone).
 WINDOWS_INSTANT = dt.datetime(2024, 1, 24, 14, 30)               # UTC
 WINDOWS_START = D(2024, 1, 5)

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from cohortline.functions.dates import day_of
 from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, strip_prefix, visitor_id
 from cohortline.functions.lifecycle import with_lifecycle_flags
-from cohortline.operators.cohorts import cohort_counts, cohort_rates
+from cohortline.operators.cohorts import (
+    cohort_changes, cohort_counts, cohort_counts_asof, cohort_rates, cohort_rates_asof,
+)
 from cohortline.operators.dedup import first_hit
 from cohortline.operators.hits import (
     CAR_HOME_PAGES, PURCHASE_PAGES, first_visit, purchase_hits, with_custom_channel, with_default_channel,
@@ -180,8 +182,32 @@ def retention_monthly(inputs: Inputs, orders: DataFrame, start: dt.date, end: dt
 
 def retention_dashboard(inputs: Inputs, orders: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return cohort_counts(scheduled_retention_base(inputs, orders, start, end),
-                         ["product", "purchase_month", "start_month", "utm_param",
-                          "custom_channel", "default_channel"])
+                         DASHBOARD_KEYS)
+
+
+DASHBOARD_KEYS = ("product", "purchase_month", "start_month", "utm_param", "custom_channel", "default_channel")
+
+
+def scheduled_changes(inputs: Inputs, orders: DataFrame, start: dt.date, last: dt.date, keys: Sequence[str]) -> DataFrame:
+    """Dated changes of the scheduled retention cohorts for any report end from ``start`` to ``last``.
+
+    A policy counts from its start date on, as the reports' window ends with the report end.
+    """
+    p = inputs.policies.where(F.col("start_date_est").between(F.lit(start), F.lit(last)) & in_scope("car_home"))
+    o = orders.select("pid", "utm_param", "custom_channel", "default_channel", "default_channel_detail")
+    joined = attribute(policy_base(p), o, on=[("policy_identifier", "pid")])
+    return cohort_changes(joined, keys, entry=F.col("start_date"))
+
+
+def retention_monthly_asof(inputs: Inputs, orders: DataFrame, start: dt.date, ends: Sequence[dt.date]) -> DataFrame:
+    """``retention_monthly`` for every report end, from one scan of the policies and the orders."""
+    keys = ["product", "start_month", "custom_channel"]
+    return cohort_rates_asof(scheduled_changes(inputs, orders, start, max(ends), keys), keys, ends)
+
+
+def retention_dashboard_asof(inputs: Inputs, orders: DataFrame, start: dt.date, ends: Sequence[dt.date]) -> DataFrame:
+    """``retention_dashboard`` for every report end, from one scan of the policies and the orders."""
+    return cohort_counts_asof(scheduled_changes(inputs, orders, start, max(ends), DASHBOARD_KEYS), DASHBOARD_KEYS, ends)
 
 
 # --- R7 / R8: manual retention (policy master x first web hit) ---------------
