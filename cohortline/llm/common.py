@@ -7,6 +7,7 @@ result with it.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -20,6 +21,8 @@ from cohortline.session import checkpoint_dir
 
 #: Rows of one key that are compared in one piece; larger keys are tiled.
 TILE_ROWS = 4096
+#: Bytes of a batch that are Python objects at a time, about (one row at least).
+SLICE_BYTES = 2_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -64,11 +67,26 @@ def release(*tables: DataFrame) -> None:
     tables[0].sparkSession._jvm.System.gc()
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces, so that only a piece's texts are Python objects at a time."""
+def hand_back() -> None:
+    """Return freed memory to the system. A Python worker is kept for later
+    tasks, and what its allocators hold on to would be counted with theirs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no such call but in glibc
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, size: int = SLICE_BYTES
+           ) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows and about ``size`` bytes, so that only a
+    piece's texts are Python objects at a time. Memory is handed back behind the last."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        step = max(1, min(rows, size * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+    hand_back()
 
 
 def chunked(batches: Iterator[pa.RecordBatch], key: list[str], rows: int = 65536

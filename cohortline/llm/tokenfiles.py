@@ -27,7 +27,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain
 
@@ -44,7 +44,9 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks remembered in a task; beyond it the memory starts anew.
+#: Chunks remembered in a task; beyond it that memory starts anew.
+CACHE_CHUNKS = 400_000
+#: Words remembered in a worker: so many of the latest, and as many of those asked for before.
 CACHE_WORDS = 200_000
 LEVEL = 3
 
@@ -187,6 +189,21 @@ class _Numbers(dict):
         return n
 
 
+class _Words(dict):
+    """Ids of words; the words that were not asked for since the last ``limit`` new ones are dropped."""
+
+    def __init__(self, learn: Callable[[str], tuple[int, ...]], limit: int) -> None:
+        self.learn, self.limit, self.before = learn, limit, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.before.get(word) or self.learn(word)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts chunk by chunk between ASCII white space.
 
@@ -195,10 +212,11 @@ class WordEncoder:
     distinct chunk is encoded once while it is remembered. The splitter also
     parts letters from marks and lower-cases, so a Latin word is encoded once for all
     its capitals and marks, by the tokenizer's model directly; all other
-    chunks take the whole tokenizer.
+    chunks take the whole tokenizer. Words are remembered apart from chunks and beyond a
+    task: a chunk of a known word is put together again without the tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int = END_ID, limit: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, end_id: int = END_ID, limit: int = CACHE_CHUNKS, words: int = CACHE_WORDS) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -206,20 +224,20 @@ class WordEncoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {ord(c): spell(c)[0][0] for c in _LETTERS}
         self.end_id, self.limit = end_id, limit
+        self.words = _Words(self._word, words)
         self.forget()
 
     def forget(self) -> None:
-        """Start with an empty memory."""
+        """Start with no chunks in memory."""
         self.known = _Numbers()
-        self.words: dict[str, list[int]] = {}
+        self.tails: dict[str, tuple[int, ...]] = {"": ()}
         self.flat = np.array([self.end_id], np.uint32)
         self.start = np.zeros(2, np.int64)
         self.size = np.array([0, 1], np.int64)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         spelled = word if word.isascii() else word.translate(self.spelling)
-        ids = self.words[word] = [t.id for t in self.model.tokenize(spelled)]
-        return ids
+        return tuple([t.id for t in self.model.tokenize(spelled)])
 
     def _whole(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for at in range(0, len(chunks), 20000)
@@ -227,19 +245,17 @@ class WordEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         found = [_LATIN.match(c) for c in chunks]
-        tails = [t for t in {m[2] for m in found if m} if t not in self.words]
-        self.words.update(zip(tails, self._whole(tails)))
+        tails, words = self.tails, self.words
+        new = [t for t in {m[2] for m in found if m} if t not in tails]
+        tails.update(zip(new, map(tuple, self._whole(new))))
         others = iter(self._whole([c for c, m in zip(chunks, found) if m is None]))
-        words, learn = self.words, self._word
         ids = []
         for m in found:
             if m is None:
                 ids.append(next(others))
                 continue
             word, tail = m.groups()
-            word = word.lower()
-            head = words.get(word) or learn(word)
-            ids.append(head + words[tail] if tail else head)
+            ids.append(words[word.lower()] + tails[tail])
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
         self.size = np.append(self.size, size)
@@ -263,7 +279,7 @@ class WordEncoder:
 
 @cache
 def encoder(path: str, end_id: int) -> WordEncoder:
-    """One tokenizer per Python worker; what it remembers lasts for a task."""
+    """One tokenizer per Python worker; the chunks it remembers last for a task."""
     return WordEncoder(path, end_id)
 
 
