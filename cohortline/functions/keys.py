@@ -17,6 +17,8 @@ WEB_PREFIXES: Mapping[str, str] = {"car": "MOT", "home": "HOM"}
 # prefix.
 PREFIXED_PRODUCTS = ("CAR", "HOME")
 PREFIX_LEN = 3
+# Fixed value: characters kept behind the prefix; a longer id is cut, as upstream.
+BARE_LEN = 100
 
 
 def _c(c: Column | str) -> Column:
@@ -37,17 +39,19 @@ def prefixed_policy_id(product: Column | str, policy_id: Column | str,
 
 
 @column_memo
-def strip_prefix(policy_id: Column | str) -> Column:
-    """Drop the 3-letter prefix; the rest of the id is kept whole."""
-    return F.substr(_c(policy_id), F.lit(PREFIX_LEN + 1))
+def strip_prefix(policy_id: Column | str, length: int | None = BARE_LEN) -> Column:
+    """Drop the 3-letter prefix and keep ``length`` characters (None: all)."""
+    if length is None:
+        return F.substr(_c(policy_id), F.lit(PREFIX_LEN + 1))
+    return F.substr(_c(policy_id), F.lit(PREFIX_LEN + 1), F.lit(length))
 
 
 @column_memo
 def bare_policy_id(product: Column | str, policy_id: Column | str,
-                   prefixed: tuple[str, ...] = PREFIXED_PRODUCTS) -> Column:
-    """Policy-master identifier -> web policy id for prefixed products."""
+                   prefixed: tuple[str, ...] = PREFIXED_PRODUCTS, length: int | None = BARE_LEN) -> Column:
+    """Policy-master identifier -> web policy id for prefixed products (others stay whole)."""
     product, policy_id = _c(product), _c(policy_id)
-    return F.when(product.isin(*prefixed), strip_prefix(policy_id)).otherwise(policy_id)
+    return F.when(product.isin(*prefixed), strip_prefix(policy_id, length)).otherwise(policy_id)
 
 
 @column_memo

@@ -7,6 +7,7 @@ keys exercise one operator each; report keys run a full report.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -268,6 +269,12 @@ def q_report_policy_orders(spark, sf_dir):
     return R.policy_orders(_inputs(spark, sf_dir), *P.DAILY_WINDOW)
 
 
+def q_policy_orders_pruned(spark, sf_dir):
+    """The daily window's policy orders from visits filtered by the window's visit ids."""
+    i = dataclasses.replace(_inputs(spark, sf_dir), prune_visits=True)
+    return R.policy_orders(i, *P.DAILY_WINDOW)
+
+
 def q_policy_orders_backfill(spark, sf_dir):
     return R.policy_orders(_inputs(spark, sf_dir), *P.BACKFILL_WINDOW)
 
@@ -345,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "recon_semi": q_recon_semi,
     "recon_anti": q_recon_anti,
     "report_policy_orders": q_report_policy_orders,
+    "policy_orders_pruned": q_policy_orders_pruned,
     "policy_orders_backfill": q_policy_orders_backfill,
     "report_purchases_default": q_report_purchases_default,
     "report_purchases_custom": q_report_purchases_custom,

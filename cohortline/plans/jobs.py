@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cohortline.functions.dates import REPORT_ZONE, rolling_days, today_in, until_last_month_end
 from cohortline.operators.load import bucket_rows, full_refresh, publish_window, replace_table
 from cohortline.plans import reports as R
-from cohortline.sources.tables import Inputs
+from cohortline.sources.tables import Inputs, check_hit_days
 
 DAY_PARTITION = "hit_day"
 DASHBOARD_START = dt.date(2024, 3, 1)
@@ -41,6 +41,7 @@ def backfill_policy_orders(inputs: Inputs, table: str, lo: dt.date, hi: dt.date,
     :func:`snapshot_policies`). ``path`` names the place of the table's files instead of the warehouse.
     A backfill that fails leaves the table as it was.
     """
+    check_hit_days(inputs, lo, hi)
     rows = R.policy_orders(inputs, lo, hi).withColumn(DAY_PARTITION, F.to_date("date_time"))
     if buckets:
         rows = bucket_rows(rows, buckets, ["pid"], DAY_PARTITION)
@@ -64,6 +65,7 @@ def daily_policy_orders(inputs: Inputs, table: str, today: dt.date | None = None
     """Reload the trailing window of ``table``; returns the window."""
     today = today or today_in(zone)
     lo, hi = rolling_days(today, 8, 1)
+    check_hit_days(inputs, lo, hi)
     publish_window(R.policy_orders(inputs, lo, hi), table, "date_time", lo, hi,
                    partition_col=DAY_PARTITION)
     return lo, hi

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.dates import day_of
-from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, strip_prefix, visitor_id
+from cohortline.functions.keys import bare_policy_id, prefixed_policy_id, strip_prefix, visit_id, visitor_id
 from cohortline.functions.lifecycle import with_lifecycle_flags
 from cohortline.operators.cohorts import (
     cohort_changes, cohort_counts, cohort_counts_asof, cohort_rates, cohort_rates_asof,
@@ -25,9 +25,11 @@ from cohortline.operators.hits import (
     CAR_HOME_PAGES, PURCHASE_PAGES, first_visit, purchase_hits, with_custom_channel, with_default_channel,
     with_visit,
 )
+from cohortline.operators.keyfilter import keep_keys
 from cohortline.operators.load import replace_window
 from cohortline.operators.policies import attribute, in_scope, policy_base, with_fiscal_week
 from cohortline.operators.reconcile import reconcile
+from cohortline.sources.schemas import VISIT_DAY
 from cohortline.sources.tables import Inputs
 
 POLICY_ORDER_COLUMNS = (
@@ -45,6 +47,27 @@ VISIT_TIEBREAK = ("event_id", "os_version", "device_type", "os_type", "default_c
 
 # --- R1 / R2: policy orders ---------------------------------------------------
 
+#: Windows of up to so many days have their visits filtered by the hits' visit ids.
+PRUNE_DAYS = 62
+
+
+def window_visits(inputs: Inputs, hits: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """The visits that hits of ``[lo, hi]`` (with ``visitor_id`` and ``visit_num``) can belong to.
+
+    All of them and few others: where the visits have a day partition, only its days from
+    ``inputs.visit_lookback`` days before the window are read, and with ``inputs.prune_visits`` those with
+    another id are dropped by a bitmap of the hits' visit ids, before anything is shuffled.
+    """
+    visits = inputs.visits
+    if VISIT_DAY in visits.columns:
+        day, first = F.col(VISIT_DAY), lo - dt.timedelta(days=inputs.visit_lookback)
+        visits = visits.where(day.between(F.lit(first), F.lit(hi)) | day.isNull())
+    if inputs.prune_visits and (hi - lo).days < PRUNE_DAYS:
+        ids = hits.select(visit_id(F.col("visitor_id"), "visit_num").alias("__id"))
+        visits = keep_keys(visits, "visit_id", ids, "__id")
+    return visits
+
+
 def policy_orders(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
     """One attributed row per policy id purchased in ``[lo, hi]``.
 
@@ -65,7 +88,10 @@ def policy_orders(inputs: Inputs, lo: dt.date, hi: dt.date) -> DataFrame:
         "default_channel",
         F.col("va_closer_detail").alias("default_channel_detail"),
     )
-    a = with_visit(a, first_visit(inputs.visits), visitor="visitor_id", spread_nulls_by=["event_id"])
+    # The ids are taken from the hits alone, without their channels.
+    ids = purchase_hits(inputs.hits, lo, hi).select(visitor_id("post_visid_high", "post_visid_low").alias("visitor_id"), "visit_num")
+    visits = first_visit(window_visits(inputs, ids, lo, hi))
+    a = with_visit(a, visits, visitor="visitor_id", spread_nulls_by=["event_id"])
     a = with_custom_channel(a)
     a = first_hit(a, ["pid"], ["date_time", "start_time"], VISIT_TIEBREAK)
     return a.select(*POLICY_ORDER_COLUMNS)

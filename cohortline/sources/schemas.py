@@ -38,6 +38,9 @@ HITS = _s(
 # Optional column of the hits: the day partition, equal to date(date_time).
 HIT_DAY = "hit_day"
 
+# Optional column of the visits: the day partition, equal to date(start_time) or null.
+VISIT_DAY = "visit_day"
+
 MARKETING_CHANNEL = _s(
     ("channel_id", LongType(), False),
     ("channel_name", StringType(), False),
