@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.operators.dedup import first_hit
+from cohortline.operators.keyfilter import keep_keys
 
 
 class LoadConflict(RuntimeError):
@@ -260,20 +261,56 @@ class _Loads:
                     _delete(self.spark, place)
 
 
-def _stage_run(new: DataFrame, loads: _Loads, day_col: str, lo: dt.date, hi: dt.date, partition_col: str) -> str:
+def _only_first(rows: DataFrame, loads: _Loads, run: str, key: str, lo: dt.date, hi: dt.date, partition_col: str,
+                horizon: int | None) -> tuple[DataFrame, list[dt.date]]:
+    """The window's rows whose key no earlier day has, with the later days that lose a row to the window.
+
+    Of the stored table only the key and the day are read, of the days within ``horizon`` of the window, and rows
+    with another key than the window's are dropped by a bitmap before the join.
+    """
+    spark = rows.sparkSession
+    rows.write.parquet(f"{run}/found")
+    rows = spark.read.schema(rows.schema).parquet(f"{run}/found")
+    stored, day = spark.table(loads.table), F.col(partition_col)
+    if horizon is not None:
+        stored = stored.where(day.between(F.lit(lo - dt.timedelta(days=horizon)), F.lit(hi + dt.timedelta(days=horizon))))
+    keys = rows.select(F.col(key).alias("__key"))
+    others = keep_keys(stored.where((day < F.lit(lo)) | (day > F.lit(hi))).select(key, partition_col), key, keys, "__key")
+    matched = others.join(keys, F.col(key) == F.col("__key"), "left_semi")
+    matched.write.parquet(f"{run}/matched")  # a part of the window's keys
+    matched = spark.read.schema(matched.schema).parquet(f"{run}/matched")
+    first = rows.join(matched.where(day < F.lit(lo)), key, "left_anti")
+    late = matched.where(day > F.lit(hi))
+    days = sorted(r[0] for r in late.select(partition_col).distinct().collect())
+    if days:
+        left = spark.table(loads.table).where(day.isin(days)).join(late, [key, partition_col], "left_anti")
+        first = first.unionByName(left)
+    return first.select(*rows.columns), days
+
+
+def _stage_run(new: DataFrame, loads: _Loads, day_col: str, lo: dt.date, hi: dt.date, partition_col: str,
+               once_by: str | None = None, horizon: int | None = None) -> str:
     """Write the new rows in the table's form and then, as the mark of a complete stage, the window."""
     spark = new.sparkSession
     run = f"{loads.folder}/{time.time_ns():020d}-{uuid.uuid4().hex}"
     rows = new.where(in_window(day_col, lo, hi)).withColumn(partition_col, F.to_date(F.col(day_col)))
-    schema = spark.table(loads.table).schema
+    schema, more = spark.table(loads.table).schema, []
     rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in schema),
                        *([] if partition_col in schema.names else [partition_col]))
+    if once_by:
+        rows, more = _only_first(rows, loads, run, once_by, lo, hi, partition_col, horizon)
     _write_days(rows, f"{run}/rows", partition_col, *_buckets(spark, loads.table))
-    spark.createDataFrame([(lo, hi)], "lo date, hi date").coalesce(1).write.parquet(f"{run}/window.tmp")
+    window = spark.createDataFrame([(lo, hi, more)], "lo date, hi date, more array<date>")
+    window.coalesce(1).write.parquet(f"{run}/window.tmp")
     _finish(spark, f"{run}/window")
     return run
 
 
+def _window_of(spark: SparkSession, run: str) -> tuple[dt.date, dt.date, list[dt.date]]:
+    """First and last day of a stage's window, and the later days it replaces."""
+    return tuple(spark.read.parquet(f"{run}/window").first())
+
+
 def _rewrite(spark: SparkSession, run: str, table: str, day_col: str, lo: dt.date, hi: dt.date) -> None:
     """A table without day partitions is written anew, from a complete copy in the
     stage; the table's location is then changed to the new files. A rewrite that
@@ -298,13 +335,13 @@ def _apply_run(spark: SparkSession, run: str, loads: _Loads, day_col: str, parti
     without its end mark, and the next load repeats the stage before its own window.
     """
     table = loads.table
-    lo, hi = spark.read.parquet(f"{run}/window").first()
+    lo, hi, more = _window_of(spark, run)
     if not _is_partitioned(spark, table, partition_col):
         _rewrite(spark, run, table, day_col, lo, hi)
         loads.done(version)
         return
     filled = set(_listed(spark, f"{run}/rows"))
-    days = [str(lo + dt.timedelta(days=i)) for i in range((hi - lo).days + 1)]
+    days = [str(lo + dt.timedelta(days=i)) for i in range((hi - lo).days + 1)] + [str(day) for day in more]
     empty = {day: f"{run}/empty/{partition_col}={day}" for day in days}
     for place in empty.values():
         fs, path = _fs(spark, place)
@@ -330,14 +367,14 @@ def _recover(loads: _Loads, day_col: str, partition_col: str) -> None:
     if not loads.is_done(last):
         _apply_run(spark, f"{loads.folder}/{loads.claim_of(last)['run']}", loads, day_col, partition_col, last)
     for run in loads.staged():
-        lo, hi = spark.read.parquet(f"{run}/window").first()
-        version = loads.claim(run, lo, hi, loads.version())
+        lo, hi, more = _window_of(spark, run)
+        version = loads.claim(run, lo, max([hi, *more]), loads.version())
         if version is not None:
             _apply_run(spark, run, loads, day_col, partition_col, version)
 
 
 def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt.date,
-                   partition_col: str = "hit_day") -> str:
+                   partition_col: str = "hit_day", once_by: str | None = None, horizon: int | None = None) -> str:
     """Replace days ``[lo, hi]`` of ``table`` with ``new``; returns ``table``.
 
     The new rows are written once, as day folders of this load (in the table's buckets, if it
@@ -352,6 +389,12 @@ def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt
     a null day live in the default partition and are never touched; rows of
     ``new`` outside the window are not loaded. Replaced folders are deleted by the load after the next.
 
+    With ``once_by`` (a column that ``new`` has once per value) the table keeps a key only on
+    its earliest day: rows of the window whose key an earlier day has are not loaded, and a later day loses its row to the
+    window. Of the stored table just the keys and days within ``horizon`` days of the window
+    are read (default: of all days), and only the window and those later days are written, in the same one change. Rows with a
+    null key are kept as they are.
+
     A table without day partitions is rewritten whole, from a complete copy that
     is staged first. A missing table is created with day partitions. The catalog has no
     conditional change: a load that stands still between its last look at the version
@@ -364,11 +407,14 @@ def publish_window(new: DataFrame, table: str, day_col: str, lo: dt.date, hi: dt
     loads = _Loads(spark, table)
     _recover(loads, day_col, partition_col)
     since = loads.version()
-    if _is_partitioned(spark, table, partition_col):
+    partitioned = _is_partitioned(spark, table, partition_col)
+    if once_by and not partitioned:
+        raise ValueError(f"{table} has no day partitions: once_by needs them")
+    if partitioned:
         loads.prune()
-    run = _stage_run(new, loads, day_col, lo, hi, partition_col)
+    run = _stage_run(new, loads, day_col, lo, hi, partition_col, once_by, horizon)
     try:
-        version = loads.claim(run, lo, hi, since)
+        version = loads.claim(run, lo, max([hi, *_window_of(spark, run)[2]]), since)
     except LoadConflict:
         _delete(spark, run)
         raise

@@ -24,7 +24,7 @@ from cohortline.functions.urls import url_host
 from cohortline.operators.cohorts import cohort_changes, cohort_counts, cohort_rates, cohort_rates_asof
 from cohortline.operators.dedup import first_hit
 from cohortline.operators.hits import purchase_hits, with_custom_channel, with_default_channel, with_visit
-from cohortline.operators.load import dedup_target, full_refresh
+from cohortline.operators.load import dedup_target, full_refresh, publish_window
 from cohortline.operators.policies import (
     attribute, in_scope, policies_with_flags, policy_base, with_fiscal_week,
 )
@@ -181,20 +181,33 @@ def q_report_windows(spark, sf_dir):
         *[d.between(F.lit(lo), F.lit(hi)).alias(f"in_{name}") for name, (lo, hi) in windows.items()])
 
 
-def q_publish_window(spark, sf_dir):
-    """A stored table after the backfill and a daily window load.
+def _rows_of(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a stored table's files (a few per day), after its entry is dropped."""
+    stored = spark.table(table).drop(jobs.DAY_PARTITION)
+    files = stored.inputFiles()
+    rows = spark.read.schema(stored.schema).parquet(*files) if files else spark.createDataFrame([], stored.schema)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
-    The rows are those of the table's files (a few per day); the table's entry is dropped again.
-    """
+
+def q_publish_window(spark, sf_dir):
+    """A stored table after the backfill and a daily window load."""
     i = _inputs(spark, sf_dir)
     name = f"policy_orders_{uuid.uuid4().hex}"
     jobs.backfill_policy_orders(i, name, *P.BACKFILL_WINDOW, path=f"{checkpoint_dir(spark)}/tables/{name}")
     jobs.daily_policy_orders(i, name, today=P.DAILY_TODAY)
-    stored = spark.table(name).drop(jobs.DAY_PARTITION)
-    files = stored.inputFiles()
-    rows = spark.read.schema(stored.schema).parquet(*files) if files else spark.createDataFrame([], stored.schema)
-    spark.sql(f"DROP TABLE {name}")
-    return rows
+    return _rows_of(spark, name)
+
+
+def q_publish_once(spark, sf_dir):
+    """A stored table loaded window by window, the later one first, that keeps each policy on its earliest day."""
+    i = _inputs(spark, sf_dir)
+    name = f"policy_orders_{uuid.uuid4().hex}"
+    (lo, _), (first, last) = P.DAILY_WINDOW, P.PURCHASE_WINDOW
+    jobs.backfill_policy_orders(i, name, lo, last, path=f"{checkpoint_dir(spark)}/tables/{name}")
+    for start, end in ((first, lo - dt.timedelta(days=1)), (lo, last)):
+        publish_window(R.policy_orders(i, start, end), name, "date_time", start, end, jobs.DAY_PARTITION, once_by="pid")
+    return _rows_of(spark, name)
 
 
 def q_dedup_target(spark, sf_dir):
@@ -341,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "replace_window": q_replace_window,
     "report_windows": q_report_windows,
     "publish_window": q_publish_window,
+    "publish_once": q_publish_once,
     "dedup_target": q_dedup_target,
     "report_ordered": q_report_ordered,
     "fiscal_week": q_fiscal_week,

@@ -60,14 +60,18 @@ def snapshot_policies(inputs: Inputs, table: str, buckets: int, path: str | None
     return replace_table(rows, table, None, buckets, ["policy_identifier"], path)
 
 
-def daily_policy_orders(inputs: Inputs, table: str, today: dt.date | None = None,
-                        zone: str = REPORT_ZONE) -> tuple[dt.date, dt.date]:
-    """Reload the trailing window of ``table``; returns the window."""
+def daily_policy_orders(inputs: Inputs, table: str, today: dt.date | None = None, zone: str = REPORT_ZONE,
+                        once: bool = False, horizon: int | None = None) -> tuple[dt.date, dt.date]:
+    """Reload the trailing window of ``table``; returns the window.
+
+    As upstream, a policy that is seen again in a later window is stored again. With ``once``
+    it stays on its earliest day (of those within ``horizon`` days, default all): see ``publish_window``.
+    """
     today = today or today_in(zone)
     lo, hi = rolling_days(today, 8, 1)
     check_hit_days(inputs, lo, hi)
     publish_window(R.policy_orders(inputs, lo, hi), table, "date_time", lo, hi,
-                   partition_col=DAY_PARTITION)
+                   partition_col=DAY_PARTITION, once_by="pid" if once else None, horizon=horizon)
     return lo, hi
 
 

@@ -237,3 +237,66 @@ def test_rows_dealt_as_buckets_file_them(spark):
     df = bucket_rows(spark.range(200).selectExpr("cast(id as string) as k"), 5, ["k"])
     parts = df.selectExpr("spark_partition_id() as p", "pmod(hash(k), 5) as b").distinct().collect()
     assert all(r.p == r.b for r in parts)
+
+
+# --- each key once ----------------------------------------------------------------------
+
+def once(spark, table, rows, lo, hi, **options):
+    publish_window(frame(spark, rows), table, "at", day(lo), day(hi), once_by="id", **options)
+    return rows_of(spark, table)
+
+
+def test_key_stays_on_its_earliest_day(spark):
+    fresh(spark, "ld_once", [])
+    assert once(spark, "ld_once", [(1, "a", 3), (2, "a", 4)], 3, 5) == [(1, "a", 3), (2, "a", 4)]
+    # Seen again later: not loaded; a new key is.
+    assert once(spark, "ld_once", [(1, "b", 7), (3, "b", 8)], 6, 8) == [(1, "a", 3), (2, "a", 4), (3, "b", 8)]
+    # An earlier window, loaded late: the later days lose their rows to it, in the same change.
+    assert once(spark, "ld_once", [(3, "c", 1), (2, "c", 2)], 1, 2) == [(1, "a", 3), (2, "c", 2), (3, "c", 1)]
+    # The window itself is replaced as ever, and again without effect.
+    for _ in range(2):
+        assert once(spark, "ld_once", [(1, "d", 4), (9, "d", 4)], 3, 5) == [(1, "d", 4), (2, "c", 2), (3, "c", 1), (9, "d", 4)]
+    # Null keys and other rows of a rewritten day stay.
+    with_null = [(None, "n", 10), (11, "n", 10), (12, "n", 10)]
+    publish_window(frame(spark, with_null), "ld_once", "at", day(10), day(10), once_by="id")
+    publish_window(frame(spark, [(12, "e", 9), (None, "e", 9)]), "ld_once", "at", day(9), day(9), once_by="id")
+    got = [r for r in spark.table("ld_once").where("hit_day >= DATE'2024-01-09'").select("id", "value").collect()]
+    assert sorted(map(tuple, got), key=str) == sorted([(None, "n"), (11, "n"), (12, "e"), (None, "e")], key=str)
+
+
+def test_only_days_within_the_horizon_count(spark):
+    fresh(spark, "ld_far", [(1, "a", 1), (2, "a", 9)])
+    got = once(spark, "ld_far", [(1, "b", 12), (2, "b", 12), (3, "b", 13)], 12, 13, horizon=5)
+    assert got == [(1, "a", 1), (1, "b", 12), (2, "a", 9), (3, "b", 13)]
+
+
+def test_rows_read_follow_the_window(spark, monkeypatch):
+    from tests.test_plans import formatted
+
+    fresh(spark, "ld_read", [(k, "a", 1 + k % 20) for k in range(100)])
+    plans = []
+    keep = load.keep_keys
+    monkeypatch.setattr(load, "keep_keys", lambda df, *a: plans.append(formatted(df)) or keep(df, *a))
+    once(spark, "ld_read", [(5, "b", 15), (500, "b", 16)], 15, 16, horizon=3)
+    assert "ReadSchema: struct<id:bigint>" in plans[0]  # the key alone, beside the partition's day
+    assert "2024-01-12" in plans[0] and "2024-01-19" in plans[0] and "PartitionFilters" in plans[0]
+
+
+def test_windows_in_any_order_equal_the_deduplicated_table(spark, inputs_small):
+    """Window by window with each key once, and the view that reads the whole table, agree."""
+    import itertools
+
+    windows = [(day(1), day(9)), (day(10), day(18)), (day(19), day(31))]
+    plain = None
+    for lo, hi in windows:
+        part = R.policy_orders(inputs_small, lo, hi)
+        plain = part if plain is None else plain.unionByName(part)
+    want = load.dedup_target(plain, ["pid"], "date_time", list(R.POLICY_ORDER_COLUMNS[1:]))
+    want = canon([tuple(r) for r in want.collect()], want.columns)
+    for order in itertools.permutations(windows):
+        table = "ld_any"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for lo, hi in order:
+            publish_window(R.policy_orders(inputs_small, lo, hi), table, "date_time", lo, hi, once_by="pid")
+        got = spark.table(table).drop("hit_day")
+        assert canon([tuple(r) for r in got.collect()], got.columns) == want
