@@ -23,6 +23,8 @@ from cohortline.session import checkpoint_dir
 TILE_ROWS = 4096
 #: Bytes of a batch that are Python objects at a time, about (one row at least).
 SLICE_BYTES = 2_000_000
+#: Rows in an Arrow batch between the JVM and Python.
+BATCH_ROWS = 1000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -78,6 +80,17 @@ def hand_back() -> None:
         pass
 
 
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Have Arrow batches of at most ``rows`` rows where the session does not say otherwise.
+
+    A batch of texts is held by the JVM and by Python at once, and Spark's default of 10,000
+    rows is 35 MB and more of ordinary documents on either side of every task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, rows)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, size: int = SLICE_BYTES
            ) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows and about ``size`` bytes, so that only a

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.llm.common import slices
+
 #: Labelled and unlabelled documents in the training sample, about.
 LABELLED = 8000
 POOL = 12000
@@ -207,22 +209,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     marks = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min((F.col(label_col) > 0).cast("int")).alias("_y")))
     n_marks, n_docs = marks.count(), docs.count()
-    place = F.pmod(F.xxhash64(F.col("_id")), F.lit(1_000_000))
-    keep_marks = marks.where(place < int(1e6 * min(1.0, labelled / max(n_marks, 1))))
-    keep_marks = F.broadcast(keep_marks) if min(n_marks, 2 * labelled) <= BROADCAST_LABELS else keep_marks
+    marks = F.broadcast(marks) if n_marks <= BROADCAST_LABELS else marks
     cols = [c for c in (text_col, source_col, lang_col, chars_col) if c in docs.columns]
-    some = docs.select(F.col(id_col).cast("long").alias("_id"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
     names = {c: f"_c{i}" for i, c in enumerate(cols)}
-    marked = some.join(keep_marks, "_id")
-    free = some.where(F.pmod(F.xxhash64(F.col("_id"), F.lit("pool")), F.lit(1_000_000))
-                      < int(1e6 * min(1.0, pool / max(n_docs, 1))))
-    chosen = marked.unionByName(free.withColumn("_y", F.lit(-1)), allowMissingColumns=True)
+    some = docs.select(F.col(id_col).cast("long").alias("_id"), *[F.col(c).alias(n) for c, n in names.items()])
+    marked = some.join(marks, "_id")
+    n_marked = some.select("_id").join(marks, "_id").count()
+
+    def chosen_of(rows: DataFrame, salt: str, most: int, of: int) -> DataFrame:
+        """About ``most`` of ``of`` rows, by a hash of their columns; equal ones, whatever their ids, are one."""
+        key = F.xxhash64(*names.values(), F.lit(salt))
+        part = rows.withColumn("_k", key).where(F.pmod("_k", F.lit(1_000_000)) < int(1e6 * min(1.0, most / max(of, 1))))
+        return part.groupBy("_k").agg(F.min(F.struct("_y", "_id", *names.values())).alias("r")).select("r.*")
+
+    # No id, copy or label brings more than its share into the sample, which the driver gets.
+    chosen = chosen_of(marked, "labelled", labelled, n_marked).unionByName(
+        chosen_of(some.withColumn("_y", F.lit(-1)), "pool", pool, n_docs))
     chosen = chosen.select("_id", "_y", *names.values())
     at = tuple(chosen.columns.index(names[c]) if c in names else -1
                for c in (text_col, source_col, lang_col, chars_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             a, b = _views(batch, at)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1).cast(pa.int32()),
@@ -253,12 +261,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     at = tuple(1 + cols.index(c) if c in cols else -1 for c in (text_col, source_col, lang_col, chars_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                piece = batch.slice(k, 2000)
-                scores = model.score(*_views(piece, at))
-                yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(s, pa.float64()) for s in scores)],
-                                                 names=["id", "text_score", "meta_score", "score"])
+        for piece in slices(batches):
+            scores = model.score(*_views(piece, at))
+            yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(s, pa.float64()) for s in scores)],
+                                             names=["id", "text_score", "meta_score", "score"])
 
     return rows.mapInArrow(run, "id long, text_score double, meta_score double, score double")
 
@@ -269,10 +275,8 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_
     at = _places(docs, text_col, source_col, lang_col, chars_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                piece = batch.slice(k, 2000)
-                yield piece.filter(pa.array(model.score(*_views(piece, at))[2] >= threshold))
+        for piece in slices(batches):
+            yield piece.filter(pa.array(model.score(*_views(piece, at))[2] >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
 

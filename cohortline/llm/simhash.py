@@ -217,8 +217,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     Classes are those of the rows' fingerprints, whatever their ids: rows that share an id but
     not a class are judged apart. Of a class's rows with the smallest id the one whose text has the
-    smallest XXH64 stays, and of equal texts the first by the other columns. Of the rows without an id one of
-    each class stays as well, chosen likewise.
+    smallest XXH64 stays, and of equal texts the first by the other columns. A row without an id
+    stays only in a class of such rows, chosen likewise.
     """
     keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
                         F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
@@ -227,8 +227,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     distinct = stage(best.select("fp").distinct().withColumn("rep", F.col("fp")), "distinct")
     label = connected_components(links(distinct, max_bits, parts), "simhash").select(F.col("id").alias("linked"), "component_id")
     keep = (best.join(label, best["fp"] == label["linked"], "left")
-            .groupBy(F.coalesce("component_id", "fp").alias("class"), "nameless").agg(F.min("best").alias("best"))
-            .select(F.col("best.id").alias("keep"), F.col("best.h").alias("keep_h")).distinct())
+            .groupBy(F.coalesce("component_id", "fp").alias("class")).agg(F.min(F.struct("nameless", "best")).alias("b"))
+            .select(F.col("b.best.id").alias("keep"), F.col("b.best.h").alias("keep_h")).distinct())
     ties = [F.col("row").getField(f.name) for f in docs.schema.fields
             if "map" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
     first = F.row_number().over(Window.partitionBy("id", "h").orderBy(*ties))

@@ -27,9 +27,9 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Chunks remembered in a task; beyond it that memory starts anew.
 CACHE_CHUNKS = 400_000
 #: Words remembered in a worker: so many of the latest, and as many of those asked for before.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 LEVEL = 3
 
 
@@ -190,12 +190,13 @@ class _Numbers(dict):
 
 
 class _Words(dict):
-    """Ids of words; the words that were not asked for since the last ``limit`` new ones are dropped."""
+    """Ids of words, as the bytes of unsigned 32-bit numbers; the words that were not asked
+    for since the last ``limit`` new ones are dropped."""
 
-    def __init__(self, learn: Callable[[str], tuple[int, ...]], limit: int) -> None:
+    def __init__(self, learn: Callable[[str], bytes], limit: int) -> None:
         self.learn, self.limit, self.before = learn, limit, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.before.get(word) or self.learn(word)
         if len(self) >= self.limit:
             self.before = dict(self)
@@ -230,24 +231,24 @@ class WordEncoder:
     def forget(self) -> None:
         """Start with no chunks in memory."""
         self.known = _Numbers()
-        self.tails: dict[str, tuple[int, ...]] = {"": ()}
+        self.tails: dict[str, bytes] = {"": b""}
         self.flat = np.array([self.end_id], np.uint32)
         self.start = np.zeros(2, np.int64)
         self.size = np.array([0, 1], np.int64)
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         spelled = word if word.isascii() else word.translate(self.spelling)
-        return tuple([t.id for t in self.model.tokenize(spelled)])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _whole(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for at in range(0, len(chunks), 20000)
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for at in range(0, len(chunks), 20000)
                 for e in self.tokenizer.encode_batch_fast(chunks[at:at + 20000], add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
         found = [_LATIN.match(c) for c in chunks]
         tails, words = self.tails, self.words
         new = [t for t in {m[2] for m in found if m} if t not in tails]
-        tails.update(zip(new, map(tuple, self._whole(new))))
+        tails.update(zip(new, self._whole(new)))
         others = iter(self._whole([c for c, m in zip(chunks, found) if m is None]))
         ids = []
         for m in found:
@@ -256,10 +257,10 @@ class WordEncoder:
                 continue
             word, tail = m.groups()
             ids.append(words[word.lower()] + tails[tail])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
         self.size = np.append(self.size, size)
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), np.uint32))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per text, all tokens); every text ends with the end id."""

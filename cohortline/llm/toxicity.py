@@ -8,12 +8,13 @@ document labels trains the sentence weights, so the sentences that are to blame
 are found without ever being labelled.
 
 Word statistics are counted over all different labelled texts, and every feature
-that tells significantly about the label carries a weight; the weights are fitted on a
-bounded sample of the rows (``SAMPLE_DOCS`` of either label).
+that tells about the label at a false discovery rate of ``FALSE_SHARE`` carries a weight; the weights are
+fitted on a bounded sample of those texts (about ``SAMPLE_DOCS`` of either label).
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,12 +26,14 @@ from pyspark.sql import functions as F
 
 from cohortline.llm.common import slices, stage
 
-#: Labelled documents of either label that the weights are fitted on, about.
+#: Different labelled texts of either label that the weights are fitted on, about.
 SAMPLE_DOCS = 8000
-#: Least log likelihood ratio (half of G²) of a feature with a weight: by chance one in twenty has it.
-SIGNIFICANT = 1.92
-#: Different texts a word must occur in to carry a weight.
-MIN_TEXTS = 8
+#: Share of the features with a weight that may have it by chance (false discovery rate).
+FALSE_SHARE = 0.05
+#: Log likelihood ratios are counted in bins of 1 / BINS, up to MOST_BINS of them.
+BINS, MOST_BINS = 32, 32 * 720
+#: The largest possible ratio matters up to this bin; a feature that can reach it is always tested.
+MOST_ABLE = 32 * 40
 #: Labels up to this many rows (16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 250_000
 THRESHOLD = 0.3
@@ -90,23 +93,16 @@ class Model:
         return float(-np.expm1(harmless))
 
 
-def text_keys() -> list[Column]:
-    """What the copies of a text ``t`` share."""
-    return [F.xxhash64("t").alias("k"), F.md5("t").alias("m")]
-
-
-def text_totals(rows: DataFrame) -> tuple[int, int]:
-    """The different texts of ``rows`` (``t``, ``y``) that are toxic, and that are not, as
-    :func:`word_counts` counts them."""
-    once = rows.groupBy(*text_keys()).agg(F.max("y").alias("y"))
-    n = {r.y: r.n for r in once.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return n.get(1, 0), n.get(0, 0)
+def different_texts(rows: DataFrame) -> DataFrame:
+    """``(k, t, y)``: each different text ``t`` of ``rows`` once, toxic if a copy of it is; ``k`` is a hash of it."""
+    return (rows.groupBy(F.xxhash64("t").alias("k"), F.md5("t").alias("m"))
+            .agg(F.max(F.struct("y", "t")).alias("r")).select("k", "r.t", "r.y"))
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``(word, pos, neg)``: the different texts of each label with the feature.
+    """``(word, pos, neg)``: the texts ``t`` of each label ``y`` with the feature.
 
-    ``rows`` has ``t`` and ``y``. Texts are counted once however often they are copied.
+    ``rows`` are those of :func:`different_texts`, so a text counts once however often it was copied.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,25 +122,54 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 held = (Counter(), Counter())
         yield out()
 
-    once = rows.groupBy(*text_keys()).agg(F.max(F.struct("y", "t")).alias("r")) \
-        .select("r.t", "r.y")
-    return (once.mapInArrow(run, "word string, pos long, neg long")
+    return (rows.select("t", "y").mapInArrow(run, "word string, pos long, neg long")
             .groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
 
 
-def choose_words(counts: DataFrame, n_pos: int, n_neg: int, significant: float = SIGNIFICANT, least: int = MIN_TEXTS
-                 ) -> list[str]:
-    """All words that tell about the label with a log likelihood ratio of ``significant``.
+def least_ratio(bins: dict[tuple[int, int], int], false_share: float = FALSE_SHARE) -> float:
+    """The log likelihood ratio (half of G²) from which on features tell, by Benjamini and Hochberg.
 
-    ``n_pos`` and ``n_neg`` are the texts behind ``counts``, as :func:`text_totals` gives them.
+    ``bins`` counts the features by the bin of their ratio and that of the largest ratio their number of texts
+    allows. A feature that says nothing reaches g with probability erfc(sqrt(g)), if it can reach g
+    at all (Tarone), so as many of those that can are expected beyond g by chance. The least g is taken at
+    which they are at most ``false_share`` of the features found there. With more features tested the bar
+    rises, and what is chosen by chance stays that share of what is chosen for cause.
+    """
+    found, can = Counter(), Counter()
+    for (k, most), n in bins.items():
+        found[k] += n
+        can[max(most, k)] += n
+    beyond, able, least = 0, 0, math.inf
+    for k in range(max([0, *found, *can]), -1, -1):
+        beyond, able = beyond + found[k], able + can[k]
+        if found[k] and able * math.erfc(math.sqrt(k / BINS)) <= false_share * beyond:
+            least = k / BINS
+    return least
+
+
+def choose_words(counts: DataFrame, n_pos: int, n_neg: int, false_share: float = FALSE_SHARE) -> list[str]:
+    """All features that tell about the label, at a false discovery rate of ``false_share``.
+
+    ``n_pos`` and ``n_neg`` are the texts behind ``counts``. The driver gets a
+    histogram, whose size the bins bound, and then the chosen features.
     """
     total, share = n_pos + n_neg, n_pos / (n_pos + n_neg)
-    cells = [("pos", f"(pos + neg) * {share!r}D"), ("neg", f"(pos + neg) * {1 - share!r}D"),
-             (f"({n_pos} - pos)", f"({total} - pos - neg) * {share!r}D"),
-             (f"({n_neg} - neg)", f"({total} - pos - neg) * {1 - share!r}D")]
-    g = F.expr(" + ".join(f"if({o} <= 0, 0D, {o} * ln({o} / ({e})))" for o, e in cells))
-    told = counts.where(f"pos + neg >= {least}").select("word", g.alias("g")).where(F.col("g") >= significant)
-    return sorted(r.word for r in told.select("word").collect())
+
+    def ratio(pos: str, neg: str) -> str:
+        cells = [(pos, f"({pos} + {neg}) * {share!r}D"), (neg, f"({pos} + {neg}) * {1 - share!r}D"),
+                 (f"({n_pos} - {pos})", f"({total} - {pos} - {neg}) * {share!r}D"),
+                 (f"({n_neg} - {neg})", f"({total} - {pos} - {neg}) * {1 - share!r}D")]
+        return " + ".join(f"if({o} <= 0, 0D, {o} * ln({o} / ({e})))" for o, e in cells)
+
+    told = counts.selectExpr("word", "pos", "neg", f"{ratio('pos', 'neg')} as g",
+                             f"least(pos + neg, {min(n_pos, n_neg)}L) as rare", "pos + neg as n")
+    # All of its texts of the rarer label, as far as there are so many.
+    most = ratio("rare", "(n - rare)") if n_pos <= n_neg else ratio("(n - rare)", "rare")
+    told = told.selectExpr("word", "g", f"least({MOST_BINS}, cast(floor(g * {BINS}) as int)) as k",
+                           f"least({MOST_ABLE}, cast(floor(({most}) * {BINS} + 1e-6) as int)) as most")
+    bins = {(r.k, r.most): r.n for r in told.groupBy("k", "most").agg(F.count(F.lit(1)).alias("n")).collect()}
+    least = least_ratio(bins, false_share)
+    return sorted(r.word for r in told.where(F.col("g") >= least).select("word").collect())
 
 
 def bag(text: str, place: dict[str, int]) -> tuple[int, list[int]]:
@@ -207,7 +232,7 @@ def fit_bags(y: np.ndarray, empty: np.ndarray, at: list[np.ndarray], doc_weight:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = SAMPLE_DOCS, significant: float = SIGNIFICANT) -> Model:
+          label_col: str = "toxic", sample: int = SAMPLE_DOCS, false_share: float = FALSE_SHARE) -> Model:
     """Fit the model to the labelled rows of ``docs``.
 
     Rows without a label, or with a null label or id, teach nothing; an id with
@@ -218,15 +243,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y")))
     if marks.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
         marks = F.broadcast(marks)
-    rows = stage(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-                 .join(marks, "_id").select("_id", "t", "y"), "labelled")
+    marked = (docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+              .join(marks, "_id").select("t", "y"))
+    rows = stage(different_texts(marked), "labelled")
     totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return Model({}, -60.0, 30.0 if totals.get(1) else -30.0)
-    n_pos, n_neg = text_totals(rows)
-    words = choose_words(word_counts(rows), n_pos, n_neg, significant) if n_pos and n_neg else []
+    words = choose_words(stage(word_counts(rows), "word-counts"), totals[1], totals[0], false_share)
+    # Chosen by the text, each different text once: no id and no copied text brings more than its one row.
     part = {y: min(1.0, sample / totals[y]) for y in (0, 1)}
-    place = F.pmod(F.xxhash64("_id", "t"), F.lit(1_000_000))
+    place = F.pmod(F.col("k"), F.lit(1_000_000))
     some = rows.where(((F.col("y") == 1) & (place < int(part[1] * 1e6))) | ((F.col("y") == 0) & (place < int(part[0] * 1e6))))
     got = bags(some, words).collect()
     y = np.array([r.y for r in got])

@@ -56,6 +56,37 @@ def test_every_telling_feature_has_a_weight_and_copies_count_once(spark, monkeyp
     assert seen == [(11, 30)]
 
 
+def test_chance_is_not_chosen_and_rare_words_are(spark):
+    """Thousands of words that say nothing beside a few that tell, one of them in few texts only."""
+    rng = np.random.default_rng(5)
+    n_pos, n_neg = 200, 1800
+    total = rng.integers(1, 120, 20000)
+    pos = rng.hypergeometric(n_pos, n_neg, total)
+    rows = [(f"n{i}", int(p), int(t - p)) for i, (p, t) in enumerate(zip(pos, total))]
+    rows += [(f"t{i}", 40, 2) for i in range(60)] + [("rare", 7, 0)]
+    counts = spark.createDataFrame(rows, "word string, pos long, neg long")
+    got = toxicity.choose_words(counts, n_pos, n_neg)
+    assert {"rare", *(f"t{i}" for i in range(60))} <= set(got)
+    assert sum(w[0] == "n" for w in got) <= .1 * len(got) + 2
+    doubled = counts.unionByName(counts.where("word like 'n%'").selectExpr("concat(word, 'x')", "pos", "neg").toDF("word", "pos", "neg"))
+    more = toxicity.choose_words(doubled, n_pos, n_neg)
+    assert sum(w[0] == "n" for w in more) <= .1 * len(more) + 2  # the bar rises with the features tested
+
+
+def test_samples_are_bounded_whatever_is_repeated(spark, monkeypatch):
+    """One id with very many texts, one text under very many ids: neither comes whole."""
+    seen = []
+    bags, co_train = toxicity.bags, quality.co_train
+    monkeypatch.setattr(toxicity, "bags", lambda rows, words: seen.append(rows.count()) or bags(rows, words))
+    monkeypatch.setattr(quality, "co_train", lambda a, b, y, ua, ub, **k: seen.append((len(y), len(ua))) or co_train(a, b, y, ua, ub, **k))
+    rows = [(1, f"text {i} of one id") for i in range(2000)] + [(i, "one text of many ids") for i in range(2, 2002)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(1, 1), *((i, 0) for i in range(2, 2002))], "doc_id long, toxic int"), sample=100)
+    assert 50 < seen[0] < 160
+    quality.train(docs, spark.createDataFrame([(1, 1), *((i, 0) for i in range(2, 2002))], "doc_id long, quality int"), labelled=100, pool=200)
+    assert 0 < seen[1][0] < 160 and 0 < seen[1][1] < 280
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
