@@ -13,22 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm import decontaminate, mixing, quality, simhash, tokenfiles
-from cohortline.llm.common import scratch, stage
+from cohortline.llm.common import bounded_batches, scratch, stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier accepts."""
+    bounded_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every SimHash near-duplicate class."""
+    bounded_batches(spark)
     return simhash.keep_one(docs)
 
 
 def unseen_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item of ``benchmark``."""
+    bounded_batches(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -47,9 +50,12 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files in the order of the table's files and rows, read back.
 
-    ``(doc_id, start, n_tokens, ids_crc32)`` per document and epoch.
+    Files are ordered by the number of the task that wrote them, not by their names as text: from
+    100,000 files on these have more digits. ``(doc_id, start, n_tokens, ids_crc32)`` per document and epoch.
     """
-    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    bounded_batches(spark)
+    name = F.col("_metadata.file_name")
+    order = [F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
     shards = tokenfiles.write_tokens(docs, scratch(spark, "corpus"), order=order)
     return tokenfiles.read_tokens(shards).withColumnRenamed("id", "doc_id")
 
