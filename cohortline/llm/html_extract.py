@@ -81,6 +81,20 @@ PRIOR = (
     (0, {"words": 2, "links": 1}), (0, {"words": 4, "links": 1, "place": 0.5}),
 )
 
+#: Prior examples that say what main text looks like where no markup names it: longer blocks with
+#: sentence ends and few links, a heading before them; boilerplate is short, linked, or at the edges. Each weighs as
+#: much as one block of the table, so they count for little beside some pages whose markup says more.
+PLAIN = (
+    (1, {"words": 3, "ends": 0.1, "place": 0.3}), (1, {"words": 3.7, "ends": 0.1, "place": 0.6}),
+    (1, {"words": 2.2, "ends": 0.15, "place": 0.5}), (1, {"words": 4.5, "ends": 0.1, "first": 1}),
+    (1, {"words": 4.5, "ends": 0.1, "place": 1, "last": 1}), (1, {"words": 1.8, "heading": 1, "place": 0.2}),
+    (1, {"words": 2.5, "ends": 0.1, "item": 1, "place": 0.5}), (1, {"words": 3.4, "ends": 0.1, "links": 0.2, "place": 0.5}),
+    (0, {"words": 1.1, "links": 1}), (0, {"words": 1.1, "links": 1, "place": 0.9}),
+    (0, {"words": 1.6, "links": 1, "item": 1, "place": 0.1}), (0, {"words": 2.2, "links": 1, "item": 1, "place": 0.8}),
+    (0, {"words": 2.2, "links": 0.6, "place": 0.9}), (0, {"words": 1.1, "place": 0.5}), (0, {"words": 1.1, "first": 1}),
+    (0, {"words": 1.5, "place": 1, "last": 1}), (0, {"words": 3, "links": 0.9, "place": 0.5}),
+)
+
 
 @lru_cache(maxsize=20_000)
 def class_says(name: str) -> str:
@@ -276,24 +290,26 @@ def features(found: list[Block]) -> np.ndarray:
 def train(x: np.ndarray, rounds: int = 300) -> np.ndarray:
     """Logistic weights from the blocks whose markup names their kind.
 
-    Each example is used twice, once with its markup features hidden. A few
-    prior examples say that markup is right, so that a sample without any
-    markup still gives a classifier.
+    Each example is used twice, once with its markup features hidden. Prior
+    examples say that markup is right, and what main text looks like without any, so that a
+    sample without markup still gives a classifier.
     """
     boiler, content = x[:, 1] > 0, (x[:, 2] > 0) & (x[:, 1] == 0)
     known = boiler | content
     plain = x[known].copy()
     plain[:, MARKUP] = 0
-    prior = np.zeros((len(PRIOR), len(FEATURES)))
-    for row, (_, named) in zip(prior, PRIOR):
+    before = (*PRIOR, *PLAIN)
+    prior = np.zeros((len(before), len(FEATURES)))
+    for row, (_, named) in zip(prior, before):
         row[0] = 1
         for name, value in named.items():
             row[FEATURES.index(name)] = value
-    each = max(known.sum(), 1) / 20
     rows = np.vstack([x[known], plain, prior])
-    y = np.concatenate([content[known], content[known], [kind for kind, _ in PRIOR]]).astype(float)
-    share = [max(y[:-len(PRIOR)].sum(), 1), max((1 - y[:-len(PRIOR)]).sum(), 1)]
-    weight = np.concatenate([np.where(y[:-len(PRIOR)] > 0, max(share) / share[0], max(share) / share[1]), np.full(len(PRIOR), each)])
+    own = np.concatenate([content[known], content[known]]).astype(float)
+    y = np.concatenate([own, [kind for kind, _ in before]])
+    share = [max(own.sum(), 1), max((1 - own).sum(), 1)]
+    weight = np.concatenate([np.where(own > 0, max(share) / share[0], max(share) / share[1]),
+                             np.full(len(PRIOR), max(known.sum(), 1) / 20), np.ones(len(PLAIN))])
     weight /= weight.sum()
     w = np.zeros(rows.shape[1])
     scale = np.maximum(np.abs(rows).max(axis=0), 1)

@@ -2,8 +2,11 @@
 
 import itertools
 import random
+import re
+from collections import Counter
 
 from cohortline.llm.html_extract import blocks, class_says, extract, max_flow_labels
+from tests.conftest import SF_SMALL
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="with-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu one</a><li><a href="/b">Menu two</a></ul></nav>
@@ -116,3 +119,29 @@ def test_elements_that_end_by_nesting():
     assert text("<canvas><p>x</p><canvas>y</canvas>z</canvas><template><p>t</p></template><p>b</p>") == ["b"]
     assert text("<canvas><p>b</p>") == ["b"]
     assert text("<p>a</p><textarea><p>x</p>") == ["a"]
+
+
+def without_names(html):
+    """The page with classes, ids, roles and telling elements taken out."""
+    html = re.sub(r"\s(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", "", html, flags=re.I)
+    return re.sub(r"<(/?)(article|nav|footer|header|aside|main|section|form|menu|figure|figcaption|button|label|fieldset|dialog)(?=[\s>/])",
+                  r"<\1div", html, flags=re.I)
+
+
+def test_table_without_any_markup_names(spark):
+    """Nothing in the table names a kind of block: main text is told by length, sentence ends and links."""
+    pages = [r.html or "" for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html").collect()]
+    named = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "page_id long, html string")
+    bare = spark.createDataFrame([(k, without_names(p)) for k, p in enumerate(pages)], "page_id long, html string")
+    truth = {r.page_id: r.main_text.split("\n") for r in extract(named).collect()}
+    got = {r.page_id: r.main_text.split("\n") for r in extract(bare).collect()}
+    assert all(t != [""] for k, t in got.items() if truth[k] != [""])
+    right = sum(sum((Counter(got[k]) & Counter(truth[k])).values()) for k in truth)
+    assert right >= .98 * sum(map(len, truth.values())) and right >= .7 * sum(map(len, got.values()))
+
+
+def test_one_plain_page(spark):
+    first, second = "This is a long paragraph about something, with ends. " * 6, "Another one follows here, and it says more. " * 5
+    page = f"<html><body><div><a href=x>Home</a></div><h1>A plain title</h1><p>{first}</p><p>{second}</p><div>Copyright 2024</div></body></html>"
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert extract(df).first().main_text == f"A plain title\n{first.strip()}\n{second.strip()}"
