@@ -28,6 +28,7 @@ from cohortline.operators.load import dedup_target, full_refresh, publish_window
 from cohortline.operators.policies import (
     attribute, in_scope, policies_with_flags, policy_base, with_fiscal_week,
 )
+from cohortline.operators.ranking import write_ordered
 from cohortline.operators.reconcile import matched, unmatched
 from cohortline.plans import jobs
 from cohortline.plans import params as P
@@ -220,12 +221,11 @@ def q_dedup_target(spark, sf_dir):
 
 
 def q_report_ordered(spark, sf_dir):
-    """A report in presentation order, with each row's place in it (the list
-    keeps the order of the sorted rows; a group per product and channel is bounded)."""
+    """A report in presentation order, with each row's place in it."""
     i = _inputs(spark, sf_dir)
-    shown = jobs.present(R.purchases_by_custom_channel(i, *P.PURCHASE_WINDOW), ["product", "custom_channel"])
-    listed = shown.coalesce(1).agg(F.collect_list(F.struct(*shown.columns)).alias("rows"))
-    return listed.select(F.posexplode("rows").alias("place", "r")).select("place", "r.*")
+    path = f"{checkpoint_dir(spark)}/tables/ordered/{uuid.uuid4().hex}"
+    placed = write_ordered(R.purchases_by_custom_channel(i, *P.PURCHASE_WINDOW), path, ["product", "custom_channel"])
+    return placed.withColumn("place", F.col("place").cast("int"))
 
 
 def q_fiscal_week(spark, sf_dir):
