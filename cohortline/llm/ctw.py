@@ -397,8 +397,8 @@ def language_model(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_
 
 
 def op2_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's log10 probability (contract of the query)."""
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
-    scored = language_model(spark.read.parquet(f"{sf_dir}/documents.parquet"), fold != 1).withColumnRenamed("id", "doc_id")
-    return scored.select("doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+    """Every document's log10 probability (contract of the query). Rows without an id are learned from."""
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
+    scored = language_model(spark.read.parquet(f"{sf_dir}/documents.parquet"), ~held).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
                          "score", (-F.col("score") / np.log10(2).item() / F.col("n_symbols")).alias("bits_per_byte"))

@@ -7,9 +7,11 @@ message with what it has and what it wants to know (each distinct thing once), t
 bucket merges all chunks' messages into a model, and replies.
 
 Messages of a bucket are merged in groups of chunks first, then the groups;
-replies are made per bucket and group from the model and a few messages at a time. So a
+replies are made from the model and a few messages at a time. So a
 task holds one bucket's model and a bounded number of message bytes, however
-many chunks there are.
+many chunks there are. A bucket with many message bytes is answered in several parts, each with a copy of the model;
+the parts are so large that the copies together are no more bytes than the messages. What is
+shuffled grows with the messages, and so with the corpus.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ CHUNK_BYTES = 14_000_000
 GROUP_CHUNKS = 512
 #: Message bytes held while merging or replying.
 HELD_BYTES = 8_000_000
+#: Message bytes that are answered in one task, about, and at least the size of the bucket's model.
+PART_BYTES = 128_000_000
 
 _MESSAGE = "bucket int, chunk long, body binary"
 _NAMES = ["bucket", "chunk", "body"]
@@ -200,6 +204,15 @@ def gather(messages: DataFrame, merge: Callable[[int, list[bytes]], bytes], chun
     return stage(merged.drop("chunk"), name)
 
 
+def parts_of(model: DataFrame, messages: DataFrame) -> DataFrame:
+    """``(of, parts)``: the buckets that are answered in several parts, as many as their messages hold
+    models (or PART_BYTES, where that is more). There are fewer of them than PART_BYTES go into all messages."""
+    sizes = messages.groupBy("bucket").agg(F.sum(F.octet_length("body")).alias("sent"))
+    kept = model.select(F.col("bucket").alias("of"), F.octet_length("body").alias("size"))
+    parts = F.floor(F.col("sent") / F.greatest(F.col("size"), F.lit(PART_BYTES))).cast("int")
+    return sizes.join(kept, F.col("bucket") == F.col("of")).select("of", parts.alias("parts")).where("parts > 1")
+
+
 def reply(model: DataFrame, messages: DataFrame, make: Callable[[int, bytes], Callable[[list[bytes]], list[bytes]]],
           chunks: int) -> DataFrame:
     """``(bucket, chunk, body)``: the bucket's reply to each message.
@@ -232,10 +245,15 @@ def reply(model: DataFrame, messages: DataFrame, make: Callable[[int, bytes], Ca
         if held:
             yield from out()
 
-    groups = -(-chunks // GROUP_CHUNKS) or 1
-    part = F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int")
+    if chunks > GROUP_CHUNKS:
+        large = stage(parts_of(model, messages), "large-buckets")
+        own = F.coalesce("parts", F.lit(1))
+        model, messages = (t.join(large, F.col("bucket") == F.col("of"), "left").withColumn("own", own) for t in (model, messages))
+    else:
+        model, messages = (t.withColumn("own", F.lit(1)) for t in (model, messages))
     models = model.select("bucket", F.lit(-1).cast("long").alias("chunk"), "body",
-                          F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+                          F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("part"))
+    part = F.pmod(F.xxhash64("chunk"), F.col("own")).cast("int")
     both = models.unionByName(messages.select("bucket", "chunk", "body", part.alias("part")))
     return (both.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "chunk")
             .mapInArrow(run, _MESSAGE))

@@ -300,7 +300,8 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     ``(shard, uri, n_docs, n_ids)`` with the shards numbered in document order:
     by ascending id, or by the values of ``order``, ascending. A null or empty text is just
     the end id. Rows with equal ids (ties, repeated rows) are all written, next to
-    each other, ordered by text; a null id sorts first and is stored as null.
+    each other, ordered by a hash of the text and the text, so an id with very many
+    texts is several tasks' and files'; a null id sorts first and is stored as null.
     Other columns are ignored. An empty table writes nothing and has no shards.
     """
 
@@ -323,7 +324,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     arrow = pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
     given = [c.alias(f"o{k}") for k, c in enumerate(order or [])]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *given)
-    by = [F.col(f"o{k}") for k in range(len(given))] or [F.col("id").asc_nulls_first()]
+    by = [F.col(f"o{k}") for k in range(len(given))] or [F.col("id").asc_nulls_first(), F.xxhash64("t")]
     ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by, "t").select("id", "t")
     return stage(ordered.mapInArrow(run, "shard int, uri string, n_docs long, n_ids long"), "shards")
 

@@ -297,11 +297,11 @@ def fold(id_col: str, parts: int) -> Column:
 
 
 def op5_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document (contract of the query)."""
+    """Toxicity of every document (contract of the query). Rows without an id are not held out; they have no label."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold("doc_id", 4) != 2)
     model = train(docs, labels)
     scored = score(docs, model).withColumnRenamed("id", "doc_id")
-    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_sentences",
                          F.size("offending").alias("n_offending"))
