@@ -145,13 +145,14 @@ def test_cli_prunes_hit_days_and_rejects_unknown_names(spark, stored_inputs, mon
         cli.main(["report", "reconcile", "--tables", spec + ",hitz=x"])
 
 
-def test_policy_ids_are_kept_whole(spark):
+def test_policy_ids_are_kept_whole_if_asked_and_cut_as_upstream_by_default(spark):
     from cohortline.functions.keys import bare_policy_id
 
     long = "MOT" + "7" * 116
     rows = spark.createDataFrame([("CAR", long + "1"), ("CAR", long + "2")], "p string, i string")
-    got = {r[0] for r in rows.select(bare_policy_id("p", "i")).collect()}
+    got = {r[0] for r in rows.select(bare_policy_id("p", "i", length=None)).collect()}
     assert got == {long[3:] + "1", long[3:] + "2"}
+    assert {r[0] for r in rows.select(bare_policy_id("p", "i")).collect()} == {"7" * 100}
 
 
 def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
