@@ -125,6 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--today", type=dt.date.fromisoformat, help="default: today in the report zone")
     ap.add_argument("--start", type=dt.date.fromisoformat)
     ap.add_argument("--end", type=dt.date.fromisoformat)
+    ap.add_argument("--once", action="store_true", help="daily: a policy stays on its earliest day")
+    ap.add_argument("--horizon", type=int, help="daily --once: days around the window in which that counts; default all")
     args = ap.parse_args(argv)
 
     spark = configure(SparkSession.builder.getOrCreate())
@@ -139,7 +141,8 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit("backfill needs --start and --end")
         jobs.backfill_policy_orders(inputs, args.orders_table, args.start, args.end)
     elif args.command == "daily":
-        lo, hi = jobs.daily_policy_orders(inputs, args.orders_table, today=args.today)
+        lo, hi = jobs.daily_policy_orders(inputs, args.orders_table, today=args.today, once=args.once,
+                                              horizon=args.horizon)
         print(f"reloaded {args.orders_table} for {lo}..{hi}")
     else:
         if not args.out_table:
