@@ -218,6 +218,15 @@ class _Loads:
     def claim_of(self, version: int) -> dict:
         return json.loads(_read_file(self.spark, f"{self.folder}/v{version}"))
 
+    def claims(self) -> dict[int, dict]:
+        """All claims by version, read by one job however many there are."""
+        names = [n for n in _listed(self.spark, self.folder) if re.fullmatch(r"v\d+", n)]
+        if not names:
+            return {}
+        lines = self.spark.read.text([f"{self.folder}/{n}" for n in names]).select("_metadata.file_name", "value").collect()
+        found = {int(r[0][1:]): json.loads(r[1]) for r in lines}
+        return {v: found.get(v) or self.claim_of(v) for v in sorted(int(n[1:]) for n in names)}
+
     def is_done(self, version: int) -> bool:
         return version == 0 or _exists(self.spark, f"{self.folder}/v{version}.done")
 
@@ -233,6 +242,8 @@ class _Loads:
         name = run.rsplit("/", 1)[1]
         while True:
             for version in range(since + 1, self.version() + 1):
+                if not _exists(self.spark, f"{self.folder}/v{version}"):
+                    raise LoadConflict(f"so many loads of {self.table} came between that version {version} is forgotten")
                 other = self.claim_of(version)
                 if other["run"] == name:
                     return None
@@ -245,20 +256,27 @@ class _Loads:
 
     def staged(self) -> list[str]:
         """Finished stages that no version names, oldest first: loads that failed, or are about to be published."""
-        claimed = {self.claim_of(v)["run"] for v in range(1, self.version() + 1)}
+        claimed = {c["run"] for c in self.claims().values()}
         runs = [n for n in _listed(self.spark, self.folder) if not re.fullmatch(r"v\d+(\.done)?", n)]
         return [f"{self.folder}/{n}" for n in runs if n not in claimed and _exists(self.spark, f"{self.folder}/{n}/window")]
 
     def prune(self) -> None:
-        """Delete day folders that the loads before the last one replaced; a reader has had a load's time to finish."""
-        used = {re.sub("^file:/+", "/", p.location().toString()) for p in _partitions(self.spark, self.table)}
-        runs = [self.claim_of(v)["run"] for v in range(1, self.version() + 1) if self.is_done(v)]
-        old = [f"{self.folder}/{r}/rows" for r in runs[:-1]]
-        for folder in old if not runs else [*old, self.root]:
+        """Delete day folders that the loads before the last one replaced, and what is left of loads that have no
+        day in the table any more; a reader has had a load's time to finish."""
+        plain = lambda path: re.sub("^file:/+", "/", path)
+        used = {plain(p.location().toString()) for p in _partitions(self.spark, self.table)}
+        done = {n for n in _listed(self.spark, self.folder) if n.endswith(".done")}
+        runs = {v: f"{self.folder}/{c['run']}" for v, c in self.claims().items() if f"v{v}.done" in done}
+        last = max(runs, default=0)
+        for folder in [self.root, *(f"{r}/rows" for v, r in runs.items() if v < last)] if runs else []:
             for name in _listed(self.spark, folder):
                 place = f"{folder}/{name}"
-                if "=" in name and re.sub("^file:/+", "/", place) not in used and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+                if "=" in name and plain(place) not in used and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
                     _delete(self.spark, place)
+        for version, run in runs.items():
+            if version < last and not any(u.startswith(plain(run) + "/") for u in used):
+                for path in (run, f"{self.folder}/v{version}", f"{self.folder}/v{version}.done"):
+                    _delete(self.spark, path)
 
 
 def _only_first(rows: DataFrame, loads: _Loads, run: str, key: str, lo: dt.date, hi: dt.date, partition_col: str,

@@ -140,6 +140,8 @@ def test_open_reader_keeps_its_files_and_old_ones_go_later(spark):
     assert middle.count() == 1
     put(spark, "ld_files", [(12, "c", 2)], 1, 4)
     root = load._Loads(spark, "ld_files").root.removeprefix("file:")
+    assert [n for n in os.listdir(f"{root}/_loads") if n[0] == "v"].count("v1") == 0  # nothing of the first load is left
+    assert load._Loads(spark, "ld_files").version() == 3
     kept = [d for d, _, names in os.walk(root) if any(n.endswith(".parquet") for n in names) and "window" not in d]
     assert len(kept) == 3  # the null day, the rows of the last load and of the one before it
     assert sorted(rows_of(spark, "ld_files"), key=str) == sorted([OLD[5], (12, "c", 2)], key=str)
